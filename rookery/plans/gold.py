@@ -24,6 +24,11 @@ def _games() -> Column:
     return F.count(F.lit(1))
 
 
+def _chronological() -> tuple[Column, ...]:
+    """Order of a player's games. The colour only matters in games against oneself."""
+    return F.col("ended_at"), F.col("game_id"), F.col("color")
+
+
 def daily_player_kpis(
     games: DataFrame, start: dt.date | None = None, end: dt.date | None = None
 ) -> DataFrame:
@@ -36,7 +41,7 @@ def daily_player_kpis(
     used = ["game_id", "game_date", "ended_at", "time_class", "eco_code", "total_moves",
             "username", "color", "elo", "opponent_elo", "score", "result"]
     played = player_game_results(games.filter(in_window("game_date", start, end)), used)
-    order = (F.col("ended_at"), F.col("game_id"))
+    order = _chronological()
     return (
         played.groupBy("game_date", "username", "time_class")
         .agg(
@@ -82,9 +87,9 @@ def elo_trend_weekly(games: DataFrame) -> DataFrame:
 
     The lag runs over weekly rows only: at most one per calendar week and key.
     """
-    used = ["game_id", "game_date", "ended_at", "time_class", "username", "elo", "score"]
+    used = ["game_id", "game_date", "ended_at", "time_class", "username", "color", "elo", "score"]
     rated = player_game_results(games.filter("rated"), used).filter(F.col("elo").isNotNull())
-    order = (F.col("ended_at"), F.col("game_id"))
+    order = _chronological()
     weekly = (
         rated.withColumn("week_start_date", week_of("game_date"))
         .groupBy("week_start_date", "username", "time_class")

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rookery import schemas
 
 SITE = "https://games.example.org"
+# 1995-01-01 UTC. Eight order days make one day of play, so that players meet
+# several games a day.
+DAY_ZERO = 788918400
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,7 +91,8 @@ def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey AS c",
         "o_orderstatus AS s",
         "substr(o_orderpriority, 1, 1) AS f",
-        "unix_seconds(CAST(o_orderdate AS TIMESTAMP)) AS placed",
+        f"{DAY_ZERO} + (unix_seconds(CAST(o_orderdate AS TIMESTAMP)) - {DAY_ZERO}) div 691200 * 86400"
+        " AS placed",
     )
     parts = (
         orders.withColumn("ended", F.expr("placed + (k * 7919) % 86400"))
@@ -122,7 +126,7 @@ _PROFILE = {
     "status": "lower(c_mktsegment)",
     "country": f"concat('{SITE}/country/N', c_nationkey)",
     "followers": "(c * 7) % 1000 + copy",
-    "joined": "631152000 + (c * 86400 * 3) % 378432000",
+    "joined": "631152000 + (c * 86400 * 3) % 157680000",
     "last_online": "CASE WHEN c % 50 = 3 THEN NULL ELSE 1600000000 + c * 61 END",
     "is_streamer": "CASE WHEN c % 4 = 1 THEN NULL ELSE c % 4 = 2 END",
     "url": f"concat('{SITE}/member/player', c)",
@@ -163,9 +167,9 @@ _STATS = {
 
 
 def raw_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics for five players in six, some landed twice."""
+    """Statistics for six players in seven, some landed twice."""
     customers = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("c"))
-    copies = customers.filter("c % 6 <> 5").withColumn(
+    copies = customers.filter("c % 7 <> 5").withColumn(
         "copy", F.explode(F.expr("CASE WHEN c % 4 = 2 THEN array(0, 1) ELSE array(0) END"))
     )
     return copies.select(
