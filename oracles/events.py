@@ -252,7 +252,13 @@ SELECT game_id, ply::INTEGER AS ply, ((ply + 1) // 2)::INTEGER AS move_number,
   clocks[ply] AS clock
 FROM (SELECT *, unnest(range(1, len(sans) + 1)) AS ply FROM lists)""",
     "game_event_log": f"WITH {LOG} SELECT * FROM log",
-    "feed_roundtrip": f"WITH {UNIQUE} SELECT * FROM feed",
+    "feed_roundtrip": f"""WITH {UNIQUE}
+SELECT event_type, time_class, color, count(*) AS events, min(event_ts) AS first_ts,
+  max(event_ts) AS last_ts, sum(ply)::BIGINT AS plies, sum(total_moves)::BIGINT AS total_moves,
+  round(sum(mover_clock_sec), 2) AS clock_seconds, max(source_game_date) AS last_game_date,
+  count(outcome) AS outcomes, min(opening_name) AS first_opening, max(move_san) AS last_san,
+  sum(white_elo)::BIGINT AS white_elo, count(DISTINCT game_id) AS games
+FROM feed GROUP BY event_type, time_class, color""",
     "game_sessions": f"WITH {UNIQUE},{_SESSIONS} SELECT * FROM stats",
     "feed_throughput": f"WITH {UNIQUE},{_THROUGHPUT} SELECT * FROM stats",
     "streamed_game_sessions": f"WITH {UNIQUE},{_SESSIONS} {_closed(120)}",

@@ -173,9 +173,23 @@ def game_event_log(spark, sf_dir):
 
 
 def feed_roundtrip(spark, sf_dir):
-    """The event log as messages, read back through the contract and deduplicated."""
+    """The event log as messages, read back through the contract, deduplicated, summed."""
     messages = feed.to_messages(_event_log(spark, sf_dir))
-    return _distinct_events(contract.accepted(contract.read_messages(messages)))
+    events = _distinct_events(contract.accepted(contract.read_messages(messages)))
+    return events.groupBy("event_type", "time_class", "color").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.min("event_ts").alias("first_ts"),
+        F.max("event_ts").alias("last_ts"),
+        F.sum("ply").alias("plies"),
+        F.sum("total_moves").alias("total_moves"),
+        F.round(F.sum("mover_clock_sec"), 2).alias("clock_seconds"),
+        F.max("source_game_date").alias("last_game_date"),
+        F.count("outcome").alias("outcomes"),
+        F.min("opening_name").alias("first_opening"),
+        F.max("move_san").alias("last_san"),
+        F.sum("white_elo").alias("white_elo"),
+        F.count_distinct("game_id").alias("games"),
+    )
 
 
 def game_sessions(spark, sf_dir):

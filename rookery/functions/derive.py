@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F
 
 from rookery.functions import text, vocab
 
-COMMENT = r"\{[^}]*\}"
+COMMENT = r"\{[^}]*+\}"
 
 
 def game_id(url: Column) -> Column:
@@ -58,7 +58,7 @@ def is_correspondence(time_control: Column) -> Column:
 
 def full_moves(moves: Column) -> Column:
     """Highest move number. Comments go first: a clock holds digit-dot text."""
-    return text.greatest_number(F.regexp_replace(moves, COMMENT, " "), r"(\d+)\.")
+    return text.greatest_number(F.regexp_replace(moves, COMMENT, " "), r"(\d++)\.")
 
 
 def opening_name(eco_url: Column) -> Column:

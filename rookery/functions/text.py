@@ -16,8 +16,9 @@ def all_groups(text: Column, pattern: str, group: int = 1) -> Column:
 
 
 def last_segment(url: Column) -> Column:
-    """The last path segment of a URL, a trailing slash ignored."""
-    return first_group(url, r"([^/]+)/?\z")
+    """The last path segment of a URL, one trailing slash ignored."""
+    bare = F.when(F.endswith(url, F.lit("/")), F.left(url, F.length(url) - 1)).otherwise(url)
+    return blank_to_null(F.substring_index(bare, "/", -1))
 
 
 def to_long(text: Column) -> Column:
