@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rookery import schemas
+from rookery.operators.once import evaluate_once
 
 SITE = "https://games.example.org"
 # 1995-01-01 UTC. Eight order days make one day of play, so that players meet
@@ -37,9 +38,7 @@ _GAME = {
                     WHEN k % 97 = 0 THEN concat('{SITE}/live/', k + 1, '/')
                     ELSE concat('{SITE}/live/', k + 1) END""",
     "uuid": "concat('g-', k)",
-    "pgn": """concat('[Event "Live"]\\n[Date "2026.08.15"]\\n',
-                     CASE WHEN k % 31 = 0 THEN '' ELSE concat('[ECO "', code, '"]\\n') END,
-                     CASE WHEN k % 307 = 0 THEN '' ELSE concat('\\n', movetext, '\\n') END)""",
+    "pgn": "game_text",
     "time_control": """CASE f WHEN '1' THEN CASE WHEN k % 2 = 0 THEN '60' ELSE '60+1' END
                               WHEN '2' THEN '180+2' WHEN '3' THEN '600'
                               WHEN '4' THEN '1/259200' ELSE '900+10' END""",
@@ -93,6 +92,11 @@ _MOVETEXT = """trim(concat(array_join(transform(
            ELSE '' END)), ' '), ' ', result_token))"""
 
 
+_GAME_TEXT = f"""concat('[Event "Live"]\\n[Date "2026.08.15"]\\n',
+    CASE WHEN k % 31 = 0 THEN '' ELSE concat('[ECO "', code, '"]\\n') END,
+    CASE WHEN k % 307 = 0 THEN '' ELSE concat('\\n', {_MOVETEXT}, '\\n') END)"""
+
+
 def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Game records from the orders table."""
     orders = _table(spark, sf_dir, "orders").selectExpr(
@@ -113,12 +117,10 @@ def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "result_token": F.expr(_RESULT),
             }
         )
-        .withColumn("movetext", F.expr(_MOVETEXT))
-        .withColumn(
-            "copy", F.explode(F.expr("CASE WHEN k % 3 = 0 THEN array(0, 1) ELSE array(0) END"))
-        )
     )
-    return parts.select(
+    written = evaluate_once(parts, "game_text", F.expr(_GAME_TEXT))
+    copies = F.expr("CASE WHEN k % 3 = 0 THEN array(0, 1) ELSE array(0) END")
+    return written.withColumn("copy", F.explode(copies)).select(
         *[F.expr(_GAME[f.name]).cast(f.dataType).alias(f.name) for f in schemas.RAW_GAMES.fields]
     )
 
