@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rookery.llm import fingerprints, neardup, substrings, topk
+from rookery.llm import bpe, fingerprints, neardup, substrings, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,36 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_next(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _read(spark, sf_dir, "labels", "doc_id", "toxic")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.fit_on(
+        documents, labels.filter(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    )
+    return toxicity.score(documents, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    documents = _read(spark, sf_dir, "documents", "doc_id", "text")
+    encoded = bpe.encode(documents, ranks).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        "ids",
+        "token_bytes",
+    )
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _read(spark, sf_dir, "embeddings", "vec_id", "embedding")
     finite = F.forall(
@@ -43,6 +74,8 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
+    "op4_toxicity": op4_toxicity,
+    "op7_bpe": op7_bpe,
     "op8_topk": op8_topk,
     "op9_neardup": op9_neardup,
     "op10_substrings": op10_substrings,
