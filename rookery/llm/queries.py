@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rookery.llm import bpe, fingerprints, neardup, substrings, topk, toxicity
+from rookery.llm import bpe, fingerprints, neardup, ring, substrings, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,24 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_next(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = _read(spark, sf_dir, "documents", "doc_id", "text").select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    return ring.assign(rows, "doc_id", 16).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents", "doc_id", "text")
     labels = _read(spark, sf_dir, "labels", "doc_id", "toxic")
@@ -74,6 +92,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_ring": op2_ring,
     "op4_toxicity": op4_toxicity,
     "op7_bpe": op7_bpe,
     "op8_topk": op8_topk,
