@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rookery.llm import bpe, fingerprints, neardup, ring, substrings, topk, toxicity
+from rookery.llm import bpe, fingerprints, neardup, pii, ring, substrings, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,22 @@ def op2_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents", "doc_id", "text")
+    found = pii.find(documents, pii.fit(documents))
+    base, spans = F.col("base_spans"), F.concat("base_spans", "added_spans")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in ("email", "ip", "card", "phone")],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(spans).alias("spans"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents", "doc_id", "text")
     labels = _read(spark, sf_dir, "labels", "doc_id", "toxic")
@@ -93,6 +109,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_ring": op2_ring,
+    "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op7_bpe": op7_bpe,
     "op8_topk": op8_topk,
