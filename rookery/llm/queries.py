@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rookery.llm import bpe, fingerprints, neardup, pii, ring, substrings, topk, toxicity
+from rookery.llm import bpe, fingerprints, mixing, neardup, pii, ring, substrings, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,27 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def domain_labels(labels: DataFrame) -> DataFrame:
+    """The labelled table's domains: toxic, good or plain."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good")
+    return labels.select("doc_id", domain.otherwise("plain").alias("domain"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = domain_labels(_read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+    targets = {"good": 0.6, "plain": 0.3, "toxic": 0.1}
+    mixed = mixing.mix(documents, labels, targets)
+
+    def share(name: str) -> Column:
+        at = F.array_position("domains", name)
+        return F.when(at > 0, F.get("posterior", (at - 1).cast("int"))).otherwise(0.0)
+
+    return mixed.select(
+        "doc_id", "tokens", *[share(name).alias(f"p_{name}") for name in targets], "rate", "copies"
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     documents = _read(spark, sf_dir, "documents", "doc_id", "text")
@@ -111,6 +132,7 @@ QUERIES: dict[str, Query] = {
     "op2_ring": op2_ring,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
+    "op5_mixing": op5_mixing,
     "op7_bpe": op7_bpe,
     "op8_topk": op8_topk,
     "op9_neardup": op9_neardup,
