@@ -312,9 +312,8 @@ def _vocabulary(content: bytes) -> tuple[Vocabulary, dict[bytes, bytes]]:
 # --- encoding and decoding --------------------------------------------------
 
 
-def encode_texts(texts: pa.Array, content: bytes) -> list[bytes]:
-    """The ids of every text, as little-endian unsigned 32-bit integers."""
-    vocabulary, cache = _vocabulary(content)
+def pieces_of(texts: pa.Array) -> tuple[list[bytes], list[int]]:
+    """All slices of all texts in a row, and each text's first one (one more at the end)."""
     data, offsets = text_bytes(texts)
     raw = data.tobytes()
     codes = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
@@ -324,13 +323,19 @@ def encode_texts(texts: pa.Array, content: bytes) -> list[bytes]:
     cuts = starts.tolist()
     cuts.append(len(raw))
     pieces = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+    return pieces, np.searchsorted(starts, offsets).tolist()
+
+
+def encode_texts(texts: pa.Array, content: bytes) -> list[bytes]:
+    """The ids of every text, as little-endian unsigned 32-bit integers."""
+    vocabulary, cache = _vocabulary(content)
+    pieces, bounds = pieces_of(texts)
     fresh = list({piece for piece in pieces if piece not in cache})
     if len(cache) + len(fresh) > _CACHE:
         cache.clear()
         fresh = list(set(pieces))
     for piece, ids in zip(fresh, vocabulary.merge(fresh)):
         cache[piece] = ids.astype("<u4").tobytes()
-    bounds = np.searchsorted(starts, offsets).tolist()
     found = [cache[piece] for piece in pieces]
     return [b"".join(found[a:b]) for a, b in zip(bounds, bounds[1:])]
 

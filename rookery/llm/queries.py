@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rookery.llm import bpe, fingerprints, mixing, neardup, pii, ring, substrings, topk, toxicity
+from rookery.llm import (
+    bpe,
+    fingerprints,
+    mixing,
+    neardup,
+    pii,
+    rangecoder,
+    ring,
+    substrings,
+    topk,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +101,17 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_rangecoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents", "doc_id", "text")
+    files = rangecoder.write(documents, public_tokenizers.path("byte_bpe_50k.json"))
+    return rangecoder.read(files).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     documents = _read(spark, sf_dir, "documents", "doc_id", "text")
@@ -133,6 +155,7 @@ QUERIES: dict[str, Query] = {
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_mixing": op5_mixing,
+    "op6_rangecoder": op6_rangecoder,
     "op7_bpe": op7_bpe,
     "op8_topk": op8_topk,
     "op9_neardup": op9_neardup,
