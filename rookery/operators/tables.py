@@ -70,10 +70,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Used where a result feeds several consumers: it is computed once, its
     lineage is cut, and a lost executor costs no recomputation.
     """
+    return _staged(df, name)[0]
+
+
+def _staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, location, _ = _filesystem(spark, path)
+    files.delete(location, True)
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; file systems say by their result, not an error, that they did not."""
+    files, location, make_path = _filesystem(spark, source)
+    if not files.rename(location, make_path(target)):
+        raise OSError(f"{source} could not be renamed to {target}")
 
 
 # --- writing ----------------------------------------------------------------
@@ -152,33 +168,44 @@ def upsert_window(
     matched target rows, its rows join the remaining ones.
     """
     spark = batch.sparkSession
-    staged = stage(batch, "upsert")
+    staged, path_of_copy = _staged(batch, "upsert")
     target = read_table(spark, path, batch.schema)
     kept = target.filter(F.col(date_column).between(F.lit(start), F.lit(end))).join(
         staged.select(key), key, "left_anti"
     )
     merged = kept.select(*batch.columns).unionByName(staged)
-    replace_window(merged, path, date_column, start, end, cluster)
-    return staged.count()
+    try:
+        replace_window(merged, path, date_column, start, end, cluster)
+        return staged.count()
+    finally:
+        _remove(spark, path_of_copy)
 
 
 def rebuild(
     df: DataFrame, path: str, partition: str | None = None, cluster: list[str] = ()
 ) -> int:
-    """Replace a whole table: write it next to the old one, then swap folders."""
+    """Replace a whole table: write it next to the old one, then swap folders.
+
+    If the swap fails the old table is put back; it is deleted only once the
+    new one is in its place.
+    """
     spark = df.sparkSession
     fresh, previous = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
     counted, seen = _counted(_by_partition(df, partition, list(cluster)))
     writer = counted.write
     (writer.partitionBy(partition) if partition else writer).parquet(fresh)
 
-    files, location, make_path = _filesystem(spark, path)
-    had_previous = files.exists(location)
+    had_previous = exists(spark, path)
     if had_previous:
-        files.rename(location, make_path(previous))
-    files.rename(make_path(fresh), location)
+        _rename(spark, path, previous)
+    try:
+        _rename(spark, fresh, path)
+    except Exception:
+        if had_previous:
+            _rename(spark, previous, path)
+        raise
     if had_previous:
-        files.delete(make_path(previous), True)
+        _remove(spark, previous)
     return seen.get.get("rows") or 0
 
 

@@ -230,3 +230,19 @@ def test_run_arguments(spark, lake):
         run.run_window(spark, lake, D(2026, 8, 1), D(2026, 8, 2), layers=["bogus"])
     run.run_window(spark, lake, D(2026, 8, 1), D(2026, 8, 2), dry_run=True)
     assert not tables.exists(spark, lake.table("silver/clean_games"))
+
+
+def test_a_failed_swap_puts_the_old_table_back(spark, folder, monkeypatch):
+    path = f"{folder}/swapped"
+    tables.rebuild(spark.range(3), path)
+    real = tables._rename
+
+    def failing(session, source, target):
+        if ".new-" in source:
+            raise OSError("no")
+        real(session, source, target)
+
+    monkeypatch.setattr(tables, "_rename", failing)
+    with pytest.raises(OSError):
+        tables.rebuild(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 3
