@@ -108,7 +108,7 @@ SELECT page_id, nullif(regexp_extract(url, '^\w+://([^/?#]+)', 1), '') AS host,
 FROM (SELECT page_id, url, regexp_replace(url, '[?#].*$', '') AS bare FROM pages)""",
     "text_numbers": r"""
 SELECT doc_id,
-  list_max(list_transform(regexp_extract_all(plain, '(\d{1,18})\.', 1), lambda n: n::BIGINT))
+  list_max(list_transform(regexp_extract_all(plain, '(\d+)\.', 1), lambda n: TRY_CAST(n AS BIGINT)))
     AS greatest,
   len(regexp_extract_all(plain, '(\d+)', 1)) AS numbers
 FROM (SELECT doc_id, regexp_replace(text, '\{[^}]*\}', ' ', 'g') AS plain FROM documents)""",

@@ -164,7 +164,7 @@ def _logged(run: _Run, layer: str, name: str, model: Callable[[], int]) -> None:
         "window_end": run.end,
         "rows_written": rows,
         "duration_sec": time.monotonic() - clock,
-        "error_message": str(error)[:1000] if error else None,
+        "error_message": str(error) if error else None,
         "started_at": started,
         "finished_at": finished,
         "logged_at": finished,
@@ -184,7 +184,7 @@ def run_window(
     layers: Iterable[str] = LAYERS,
     as_of: dt.date | None = None,
     run_id: str | None = None,
-    slack_months: int = 0,
+    slack_months: int = 1,
     dry_run: bool = False,
 ) -> str:
     """Run the models of ``layers`` for an inclusive window; returns the run id.

@@ -24,7 +24,7 @@ def in_window(column: str, start: dt.date | None, end: dt.date | None) -> Column
 
 
 def prune_months(
-    raw: DataFrame, start: dt.date | None, end: dt.date | None, slack_months: int = 0
+    raw: DataFrame, start: dt.date | None, end: dt.date | None, slack_months: int = 1
 ) -> DataFrame:
     """Keep the landing months the window touches (a partition filter).
 
@@ -43,7 +43,7 @@ def clean_games(
     raw: DataFrame,
     start: dt.date | None = None,
     end: dt.date | None = None,
-    slack_months: int = 0,
+    slack_months: int = 1,
 ) -> DataFrame:
     """One conformed row per distinct game of the window.
 

@@ -24,15 +24,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """At least one task per core for rows that are about to grow a hundredfold.
-
-    A large table already has more splits than that and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 _GAME = {
     "url": f"""CASE WHEN k % 211 = 0 THEN '{SITE}/live/none'
                     WHEN k % 97 = 0 THEN concat('{SITE}/live/', k + 1, '/')
@@ -108,7 +99,7 @@ def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         " AS placed",
     )
     parts = (
-        _spread(orders)
+        orders
         .withColumn("ended", F.expr("placed + (k * 7919) % 86400"))
         .withColumns(
             {
