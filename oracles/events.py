@@ -152,14 +152,6 @@ stats AS (
 )"""
 
 
-def _closed(lateness: int) -> str:
-    """Windows that end before the last event time less the allowed lateness."""
-    return (
-        "SELECT * FROM stats WHERE window_end <="
-        f" (SELECT max(event_ts) FROM feed) - INTERVAL {lateness} SECOND"
-    )
-
-
 # Which payload an event of the table became, and what is wrong with it.
 _KINDS = """
 kinds AS (
@@ -233,6 +225,17 @@ SELECT 'e' || event_id AS event_id,
   NULL::VARCHAR AS producer_version
 FROM verdicts WHERE error_message IS NULL"""
 
+# Late: below the highest time of earlier batches less two minutes.
+_ENTERED = f"""
+accepted AS ({_ACCEPTED}),
+placed AS (SELECT *, CAST(substr(event_id, 2) AS BIGINT) % 4 AS batch FROM accepted),
+marked AS (
+  SELECT *, coalesce(event_ts < (
+      SELECT max(event_ts) FROM placed earlier WHERE earlier.batch < placed.batch
+    ) - INTERVAL 120 SECOND, FALSE) AS is_late
+  FROM placed
+)"""
+
 EVENTS = {
     "game_moves": rf"""WITH {RAW_GAMES},
 newest AS (
@@ -261,8 +264,13 @@ SELECT event_type, time_class, color, count(*) AS events, min(event_ts) AS first
 FROM feed GROUP BY event_type, time_class, color""",
     "game_sessions": f"WITH {UNIQUE},{_SESSIONS} SELECT * FROM stats",
     "feed_throughput": f"WITH {UNIQUE},{_THROUGHPUT} SELECT * FROM stats",
-    "streamed_game_sessions": f"WITH {UNIQUE},{_SESSIONS} {_closed(120)}",
-    "streamed_throughput": f"WITH {UNIQUE},{_THROUGHPUT} {_closed(0)}",
+    "streamed_game_sessions": f"WITH {UNIQUE},{_SESSIONS} SELECT * FROM stats",
+    "streamed_throughput": f"WITH {UNIQUE},{_THROUGHPUT} SELECT * FROM stats",
     "rejected_messages": f"WITH {_KINDS} {_REJECTED}",
+    "entered_events": f"WITH {_KINDS},{_ENTERED} SELECT * EXCLUDE (batch) FROM marked",
+    "entered_late_events": f"""WITH {_KINDS},{_ENTERED}
+SELECT event_id, game_id, event_type, event_ts, event_ts AS window_start, 'LATE' AS pane_info
+FROM marked WHERE is_late""",
+    "entered_dead_letters": f"WITH {_KINDS} {_REJECTED}",
     "accepted_messages": f"WITH {_KINDS} {_ACCEPTED}",
 }

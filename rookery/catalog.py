@@ -158,11 +158,20 @@ def game_moves(spark, sf_dir):
 
 def _event_log(spark, sf_dir):
     """Replay of all games, half an hour of staggered starts, both copies."""
-    contexts = plays.game_context(archives.raw_games(spark, sf_dir))
+    return _replayed(plays.game_context(archives.raw_games(spark, sf_dir)))
+
+
+def _replayed(contexts):
     offset = F.col("game_id").cast("bigint") % 1800
     return plays.game_event_log(contexts, F.timestamp_seconds(F.lit(REPLAY_START) + offset), 7.5)
 
 
+def _unique_event_log(spark, sf_dir):
+    """Replay of each game once: copies share id and start, so they are dropped as games."""
+    contexts = plays.game_context(archives.raw_games(spark, sf_dir))
+    return _replayed(latest_per_key(contexts, ["game_id"], [F.desc("white_elo")]))
+
+
 def _distinct_events(events):
     """Each event id once: the batch form of the stream's deduplication."""
     return latest_per_key(events, ["event_id"], [F.asc("event_ts"), F.desc("white_elo")])
@@ -193,11 +202,11 @@ def feed_roundtrip(spark, sf_dir):
 
 
 def game_sessions(spark, sf_dir):
-    return windows.session_stats(_distinct_events(_event_log(spark, sf_dir)))
+    return windows.session_stats(_unique_event_log(spark, sf_dir))
 
 
 def feed_throughput(spark, sf_dir):
-    return windows.platform_stats(_distinct_events(_event_log(spark, sf_dir)))
+    return windows.platform_stats(_unique_event_log(spark, sf_dir))
 
 
 # One event in twenty of the table becomes each of these payloads.
@@ -256,10 +265,10 @@ def accepted_messages(spark, sf_dir):
 # --- streams ------------------------------------------------------------------
 
 
-def _streamed(spark, sf_dir, start, name):
-    """Write the event log as the accepted-events table and run one window query."""
+def _streamed(spark, sf_dir, start):
+    """Write the event log as the accepted-events table, run one window query to its end."""
     layout = jobs.Layout(scratch_path(spark, "stream"))
-    accepted = _distinct_events(_event_log(spark, sf_dir)).withColumns(
+    accepted = _unique_event_log(spark, sf_dir).withColumns(
         {
             "received_at": F.col("event_ts"),
             "is_late": F.lit(False),
@@ -267,19 +276,63 @@ def _streamed(spark, sf_dir, start, name):
         }
     )
     accepted.write.partitionBy("event_date").parquet(layout.table("live_game_events"))
-    query = start(spark, layout, availableNow=True)
-    query.awaitTermination()
-    return spark.read.parquet(layout.table(name)).select(*schemas.LIVE_STATS.fieldNames())
+    start(spark, layout, availableNow=True).awaitTermination()
+    jobs.close_windows(spark, layout)
+    return layout
 
 
 def streamed_game_sessions(spark, sf_dir):
-    """Sessions the watermark has closed at the end of the feed."""
-    return _streamed(spark, sf_dir, jobs.start_session_stats, "live_game_stats_sessions")
+    """Sessions of a bounded feed: those the watermark closed and the rest."""
+    return jobs.session_stats(spark, _streamed(spark, sf_dir, jobs.start_session_stats))
 
 
 def streamed_throughput(spark, sf_dir):
-    """Fixed windows the watermark has closed at the end of the feed."""
-    return _streamed(spark, sf_dir, jobs.start_platform_stats, "live_game_stats_platform")
+    """Fixed windows of a bounded feed: those the watermark closed and the rest."""
+    return jobs.platform_stats(spark, _streamed(spark, sf_dir, jobs.start_platform_stats))
+
+
+_BATCHES = 4
+
+
+def _entered(spark, sf_dir):
+    """The table's messages through the stream entry, in four batches with redeliveries.
+
+    A batch brings a quarter of the messages, and once more the valid ones of
+    the quarter before it.
+    """
+    root = scratch_path(spark, "entry")
+    messages = _messages(spark, sf_dir).withColumn(
+        "n", F.substr(F.col("attributes")["event_id"], F.lit(2)).cast("bigint")
+    )
+    for batch in range(_BATCHES):
+        part = messages.filter(F.col("n") % _BATCHES == batch)
+        again = messages.filter(
+            (F.col("n") % _BATCHES == batch - 1) & (F.col("n") % 20 > 14)
+        )
+        arriving = part.unionByName(again).select("data", "attributes").coalesce(1)
+        arriving.write.mode("append").parquet(f"{root}/incoming")
+    layout = jobs.Layout(f"{root}/tables")
+    source = jobs.message_files(spark, f"{root}/incoming", maxFilesPerTrigger="1")
+    jobs.start_entry(source, layout, availableNow=True).awaitTermination()
+    return layout
+
+
+def entered_events(spark, sf_dir):
+    """Events of a feed with redeliveries, each once, and whether they came late."""
+    layout = _entered(spark, sf_dir)
+    return spark.read.parquet(layout.table("live_game_events")).select(
+        *schemas.EVENT.fieldNames(), "is_late"
+    )
+
+
+def entered_late_events(spark, sf_dir):
+    late = jobs.late_events(spark, _entered(spark, sf_dir))
+    return late.select("event_id", "game_id", "event_type", "event_ts", "window_start", "pane_info")
+
+
+def entered_dead_letters(spark, sf_dir):
+    letters = jobs.dlq_events(spark, _entered(spark, sf_dir))
+    return letters.drop("received_at", "pipeline_version")
 
 
 # --- landing ------------------------------------------------------------------
@@ -332,6 +385,9 @@ _BUILDERS: list[Query] = [
     feed_throughput,
     rejected_messages,
     accepted_messages,
+    entered_events,
+    entered_late_events,
+    entered_dead_letters,
     streamed_game_sessions,
     streamed_throughput,
     landing_summary,
