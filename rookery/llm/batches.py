@@ -8,6 +8,7 @@ machine.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,18 +44,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are done.
+
+    It does so once the driver's collectors find a step's plan unused. A long operator that
+    waits for that by itself holds the files of all its steps at once.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def key_filter(keys: DataFrame, column: str, most_bits: int = 1 << 28) -> Column:
-    """A test on ``column`` that is true for every value in ``keys`` and for few others.
+def key_bitmap(keys: DataFrame, column: str, most_bits: int = 1 << 28) -> tuple:
+    """A broadcast bitmap of the hashes of ``keys``, and the place of a row's ``column`` in it.
 
     One bit per hash, about eight bits a key, at most ``most_bits`` (32 MB); the bitmap is
-    built on the executors, gathered and broadcast. More keys than it can tell apart only
-    make it let more rows through, so it may thin out a join's input and never its result.
+    built on the executors, gathered and broadcast. It marks every key and few other values;
+    more keys than it can tell apart only make it mark more. It may thin out the input of a
+    join, never its result.
     """
-    spark = keys.sparkSession
     bits = min(most_bits, max(1 << 15, 1 << int(8 * keys.count()).bit_length()))
     place = F.pmod(F.xxhash64(column), F.lit(bits))
     blocks = (
@@ -66,16 +77,26 @@ def key_filter(keys: DataFrame, column: str, most_bits: int = 1 << 28) -> Column
     for row in blocks.toLocalIterator(prefetchPartitions=True):
         begin = (row["block"] - 1) * 4096
         bitmap[begin : begin + 4096] = np.frombuffer(row["bits"], np.uint8)
-    shared = spark.sparkContext.broadcast(bitmap)
+    return keys.sparkSession.sparkContext.broadcast(bitmap), place
+
 
+def marked(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bitmap[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def in_bitmap(shared, place: Column) -> Column:
     @F.pandas_udf("boolean")
     def known(places: pd.Series) -> pd.Series:
-        at = places.to_numpy()
-        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+        return pd.Series(marked(shared.value, places.to_numpy()))
 
     return known(place)
 
 
+def key_filter(keys: DataFrame, column: str) -> Column:
+    """A test on ``column`` that is true for every value in ``keys`` and for few others."""
+    return in_bitmap(*key_bitmap(keys, column))
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
