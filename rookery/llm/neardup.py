@@ -9,8 +9,11 @@ Two documents are linked if ``100 * |both| >= 75 * |either|``; a class is what l
 2. Each band bucket names its smallest member as pivot, and each document is compared with
    its smallest pivot: one pair per document, however large a bucket is.
 3. Links found so connect most of a bucket. Members outside the bucket's largest class are
-   then compared with all members of other classes, in blocks of signatures; pairs within a
-   class are never formed.
+   then compared with the members of other classes, in blocks of signatures; pairs within a
+   class are never formed. In two rounds each member only hands on the pair that matches best
+   in each bucket. In the last round members with any surviving pair bring their texts, and
+   the pairs left are confirmed where they meet: only links are written, one per member and
+   class, so a group of members that are just too different costs comparisons but no rows.
 4. A comparison reads the signatures in batches and stops once the posterior probability of
    a similarity of 0.75 or more (uniform prior) is below ``MISS``. Survivors are confirmed on
    their full shingle sets (64-bit shingle hashes).
@@ -37,6 +40,7 @@ from rookery.llm.batches import (
     distinct,
     key_filter,
     mix,
+    release,
     shingles,
     shuffle_partitions,
     slices,
@@ -49,6 +53,7 @@ BANDS, ROWS = 48, 5
 HASHES = BANDS * ROWS
 MISS = 1e-6
 BATCH = 48  # signature values compared before the posterior is looked at
+ROUNDS = 2  # rounds in which members hand on their best pair only
 CHUNK = 256  # bucket members compared as one block
 _NULL_ID = -(2**63)
 
@@ -151,18 +156,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return data.reshape(len(column), HASHES)
 
 
-def survives(
+def matched(
     left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, miss: float = MISS
 ) -> np.ndarray:
-    """Which pairs (left[i], right[j]) are not given up, their values read batch by batch."""
+    """Equal values of the pairs (left[i], right[j]); 0 for those given up on the way."""
     alive = np.arange(len(i))
     matches = np.zeros(len(i), np.int64)
     for begin in range(0, HASHES, BATCH):
         part = slice(begin, begin + BATCH)
         matches[alive] += (left[i[alive], part] == right[j[alive], part]).sum(axis=1)
         alive = alive[matches[alive] >= fewest_matches(begin + BATCH, miss)]
-    out = np.zeros(len(i), bool)
-    out[alive] = True
+    out = np.zeros(len(i), np.int64)
+    out[alive] = matches[alive]
     return out
 
 
@@ -171,7 +176,7 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             pairs = np.arange(batch.num_rows)
             left, right = _matrix(batch.column("left")), _matrix(batch.column("right"))
-            keep = survives(left, right, pairs, pairs)
+            keep = matched(left, right, pairs, pairs) > 0
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
@@ -185,39 +190,155 @@ def _runs(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple[tuple, pa.R
         yield tuple(int(c[begin]) for c in columns), batch.slice(begin, end - begin)
 
 
-def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Surviving pairs of different classes, from rows in order of key, block and side.
+def _blocks(batches: Iterator[pa.RecordBatch], hold, meet) -> Iterator[pa.RecordBatch]:
+    """Walk rows in order of key, block and side.
 
-    A block of light members comes first (side 0) and is held; the bucket's members follow
-    (side 1) and stream past it.
+    A block of light members comes first (side 0) and is held as ``hold(rows)``; the bucket's
+    members follow (side 1) in pieces of ``CHUNK`` and meet it as ``meet(held, rows)``. At the
+    end of a block ``meet(held, None)`` says what is left to say.
     """
     at, held = None, []
     for batch in batches:
         for (key, block, side), rows in _runs(batch, ["key", "block", "side"]):
             if at != (key, block):
+                for one in held:
+                    yield from meet(at, one, None)
                 at, held = (key, block), []
-            fields = (
-                rows.column("rep").to_numpy(),
-                rows.column("comp").to_numpy(),
-                _matrix(rows.column("signature")),
-            )
             if side == 0:
-                held.append(tuple(field.copy() for field in fields))
+                held.append(hold(rows))
                 continue
-            b, d, y = fields
-            heavy = rows.column("heavy").to_numpy(zero_copy_only=False)
-            for a, c, x in held:
-                for begin in range(0, len(b), CHUNK):
-                    part = slice(begin, begin + CHUNK)
-                    wanted = c[:, None] != d[None, part]
-                    wanted &= heavy[None, part] | (a[:, None] < b[None, part])
-                    i, j = np.nonzero(wanted)
-                    keep = survives(x, y[part], i, j)
-                    one, two = a[i[keep]], b[part][j[keep]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.maximum(one, two)), pa.array(np.minimum(one, two))],
-                        names=["a", "b"],
-                    )
+            for begin in range(0, rows.num_rows, CHUNK):
+                for one in held:
+                    yield from meet(at, one, rows.slice(begin, CHUNK))
+    for one in held:
+        yield from meet(at, one, None)
+
+
+def _wanted(a, c, rows: pa.RecordBatch, both_ways: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of different classes; two light members meet once unless ``both_ways``."""
+    b, d = rows.column("rep").to_numpy(), rows.column("comp").to_numpy()
+    wanted = c[:, None] != d[None, :]
+    if not both_ways:
+        heavy = rows.column("heavy").to_numpy(zero_copy_only=False)
+        wanted &= heavy[None, :] | (a[:, None] < b[None, :])
+    return np.nonzero(wanted)
+
+
+def _held(rows: pa.RecordBatch) -> dict:
+    count = rows.num_rows
+    return {
+        "rep": rows.column("rep").to_numpy().copy(),
+        "comp": rows.column("comp").to_numpy().copy(),
+        "signature": _matrix(rows.column("signature")).copy(),
+        "most": np.zeros(count, np.int64),
+        "other": np.zeros(count, np.int64),
+    }
+
+
+def _best_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each held member's best surviving pair with another class."""
+
+    def meet(_, one: dict, rows: pa.RecordBatch | None) -> Iterator[pa.RecordBatch]:
+        if rows is None:
+            found = one["most"] > 0
+            a, b = one["rep"][found], one["other"][found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"]
+            )
+            return
+        i, j = _wanted(one["rep"], one["comp"], rows, True)
+        grid = np.zeros((len(one["rep"]), rows.num_rows), np.int64)
+        grid[i, j] = matched(one["signature"], _matrix(rows.column("signature")), i, j)
+        first = grid.argmax(axis=1)
+        top = grid[np.arange(len(grid)), first]
+        better = top > one["most"]
+        one["most"][better] = top[better]
+        one["other"][better] = rows.column("rep").to_numpy()[first[better]]
+
+    yield from _blocks(batches, _held, meet)
+
+
+def _active(groups: int):
+    """Who has a surviving pair with whom, by groups of light members.
+
+    Light members are dealt over ``groups`` whatever their bucket. Returned are the light
+    members with a surviving pair (side 0) and the members that a group meets (side 1).
+    """
+
+    def rows_of(side: int, reps: np.ndarray, met: np.ndarray, bounds: np.ndarray):
+        lists = pa.ListArray.from_arrays(
+            pa.array(bounds.astype(np.int32)), pa.array(met.astype(np.int64))
+        )
+        sides = pa.array(np.full(len(reps), side, np.int64))
+        return pa.RecordBatch.from_arrays(
+            [sides, pa.array(reps), lists], names=["side", "rep", "groups"]
+        )
+
+    def hold(rows: pa.RecordBatch) -> dict:
+        one = _held(rows)
+        group = mix(one["rep"].astype(np.uint64)) % np.uint64(groups)
+        return one | {"group": group.astype(np.int64)}
+
+    def meet(_, one: dict, rows: pa.RecordBatch | None) -> Iterator[pa.RecordBatch]:
+        if rows is None:
+            found = one["most"] > 0
+            own = one["group"][found]
+            yield rows_of(0, one["rep"][found], own, np.arange(len(own) + 1))
+            return
+        i, j = _wanted(one["rep"], one["comp"], rows, False)
+        alive = matched(one["signature"], _matrix(rows.column("signature")), i, j) > 0
+        one["most"][i[alive]] = 1
+        met = np.unique(np.stack([j[alive], one["group"][i[alive]]]), axis=1)
+        members, begins = np.unique(met[0], return_index=True)
+        bounds = np.append(begins, met.shape[1])
+        yield rows_of(1, rows.column("rep").to_numpy()[members], met[1], bounds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _blocks(batches, hold, meet)
+
+    return run
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact links between held members and those that meet them, one a member and class."""
+
+    def sets(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        return distinct(*shingles(words(rows.column("text"), lower=True), SHINGLE))
+
+    def hold(rows: pa.RecordBatch) -> dict:
+        values, bounds = sets(rows)
+        order = np.argsort(values, kind="stable")
+        owner = np.repeat(np.arange(rows.num_rows), np.diff(bounds))[order]
+        return _held(rows) | {
+            "values": values[order], "owner": owner, "sizes": np.diff(bounds), "known": set()
+        }
+
+    def meet(_, one: dict, rows: pa.RecordBatch | None) -> Iterator[pa.RecordBatch]:
+        if rows is None:
+            return
+        values, bounds = sets(rows)
+        i, j = _wanted(one["rep"], one["comp"], rows, False)
+        alive = matched(one["signature"], _matrix(rows.column("signature")), i, j) > 0
+        i, j = i[alive], j[alive]
+        b, d = rows.column("rep").to_numpy(), rows.column("comp").to_numpy()
+        links = []
+        for n in np.unique(j).tolist():
+            own = values[bounds[n] : bounds[n + 1]]
+            low = np.searchsorted(one["values"], own, "left")
+            count = np.searchsorted(one["values"], own, "right") - low
+            place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            both = np.bincount(
+                one["owner"][np.repeat(low, count) + place], minlength=len(one["rep"])
+            )
+            for k in i[j == n][similar(both, one["sizes"], len(own))[i[j == n]]].tolist():
+                if (k, d[n]) not in one["known"]:
+                    one["known"].add((k, d[n]))
+                    links.append((max(one["rep"][k], b[n]), min(one["rep"][k], b[n])))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)], names=["a", "b"]
+        )
+
+    yield from _blocks(batches, hold, meet)
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,13 +446,14 @@ def _first_links(buckets: DataFrame, signatures: DataFrame, texts: DataFrame) ->
     return confirm(pruned, texts)
 
 
-def _other_links(
-    buckets: DataFrame, comps: DataFrame, signatures: DataFrame, texts: DataFrame
-) -> DataFrame:
-    """Links between members of one bucket that are not yet in one class."""
-    members = (
-        buckets.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", "rep", F.coalesce("comp", "rep").alias("comp"))
+def _mixed(buckets: DataFrame, comps: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Rows (key, block, side, rep, comp, heavy, signature) of buckets with several classes.
+
+    Light members, those outside their bucket's largest class, are dealt over blocks of about
+    ``CHUNK`` (side 0); all of the bucket's members go to every block of it (side 1).
+    """
+    members = buckets.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "key", "rep", F.coalesce("comp", "rep").alias("comp")
     )
     sizes = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = (
@@ -343,41 +465,72 @@ def _other_links(
             F.max_by("comp", "n").alias("largest"),
         )
         .filter("classes > 1")
-        .select(
-            "key", "largest", F.ceil((F.col("n") - F.col("most")) / CHUNK).alias("blocks")
-        )
+        .select("key", "largest", F.ceil((F.col("n") - F.col("most")) / CHUNK).alias("blocks"))
     )
     placed = (
         members.join(mixed, "key")
         .withColumn("heavy", F.col("comp") == F.col("largest"))
         .join(signatures, "rep")
     )
+    return _dealt(placed)
+
+
+def _dealt(placed: DataFrame) -> DataFrame:
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    columns = ["rep", "comp", "heavy", "signature"]
     light = placed.filter("not heavy").select(
-        "key",
-        F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"),
-        F.lit(0).alias("side"),
-        "rep",
-        "comp",
-        "heavy",
-        "signature",
+        "key", own.alias("block"), F.lit(0).cast("long").alias("side"), *columns
     )
-    every = placed.select(
-        "key",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        F.lit(1).alias("side"),
-        "rep",
-        "comp",
-        "heavy",
-        "signature",
+    return light.unionByName(
+        placed.select(
+            "key", F.explode(every).alias("block"), F.lit(1).cast("long").alias("side"), *columns
+        )
     )
-    pairs = (
-        light.unionByName(every)
-        .repartition(shuffle_partitions(buckets.sparkSession), "key", "block")
-        .sortWithinPartitions("key", "block", "side")
-        .mapInArrow(_compare_blocks, PAIR)
-        .distinct()
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    return rows.repartition(
+        shuffle_partitions(rows.sparkSession), "key", "block"
+    ).sortWithinPartitions("key", "block", "side")
+
+
+def _best_links(
+    buckets: DataFrame, comps: DataFrame, signatures: DataFrame, texts: DataFrame
+) -> DataFrame:
+    """Links among the best pairs between classes."""
+    rows = _in_order(_mixed(buckets, comps, signatures))
+    return confirm(rows.mapInArrow(_best_pairs, PAIR).distinct(), texts)
+
+
+def _all_links(
+    buckets: DataFrame, comps: DataFrame, signatures: DataFrame, texts: DataFrame
+) -> DataFrame:
+    """All links between classes, one per member and class at least.
+
+    Members bring their text once per group of light members they meet, however many buckets
+    they share.
+    """
+    rows = _mixed(buckets, comps, signatures)
+    lights = rows.filter("side = 0").select("rep").distinct().count()
+    met = _in_order(rows).mapInArrow(
+        _active(-(-lights // CHUNK) or 1), "side LONG, rep LONG, groups ARRAY<LONG>"
+    )
+    active = stage(
+        met.groupBy("side", "rep")
+        .agg(F.array_distinct(F.flatten(F.collect_set("groups"))).alias("groups"))
+        .select(
+            F.explode("groups").alias("key"), F.lit(0).cast("long").alias("block"), "side", "rep"
+        ),
+        "active",
+    )
+    bringing = (
+        active.join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+        .withColumns({"comp": F.coalesce("comp", "rep"), "heavy": F.lit(True)})
+        .join(signatures, "rep")
+        .join(texts, "rep")
     )
-    return confirm(pairs, texts)
+    return _in_order(bringing).mapInArrow(_linked, PAIR).distinct()
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -444,10 +597,13 @@ def classes(documents: DataFrame) -> DataFrame:
         .dropDuplicates(["rep"]),
         "texts",
     )
-    first = components(_first_links(buckets, signatures, texts))
-    other = _other_links(buckets, first, signatures, texts)
-    second = components(_contract(other, first))
-    named = _named(first, second)
+    release(documents.sparkSession)
+    named = components(_first_links(buckets, signatures, texts))
+    for links_of in (*[_best_links] * ROUNDS, _all_links):
+        links = stage(_contract(links_of(buckets, named, signatures, texts), named), "links")
+        if not links.isEmpty():
+            named = stage(_named(named, components(links)), "named")
+        release(documents.sparkSession)
     classes = sets.join(named.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "comp", F.coalesce("comp", "rep")
     )
@@ -474,7 +630,9 @@ def _real(identity: Column) -> Column:
 def _contract(links: DataFrame, comps: DataFrame) -> DataFrame:
     """Links between the classes that their ends belong to."""
     ends = links.join(comps.toDF("a", "x"), "a", "left").join(comps.toDF("b", "y"), "b", "left")
-    return ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+    return ends.select(
+        F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")
+    ).filter("a != b")
 
 
 def _named(first: DataFrame, second: DataFrame) -> DataFrame:
