@@ -149,7 +149,7 @@ def fit(
     if len(set(labels[learns])) < 2 or len(set(labels[~learns])) < 2:
         learns[:] = True
     own = [text for text, keep in zip(texts, learns) if keep]
-    model = _train(pa.array(own, pa.string()), labels[learns], rng)
+    model = _train(own, labels[learns], rng)
     rest = ~learns if not learns.all() else learns
     held = [text for text, keep in zip(texts, rest) if keep]
     logits = np.concatenate(
@@ -182,30 +182,53 @@ def _scale(
     return max(float(slope), 1e-3), float(shift)
 
 
-def _train(texts: pa.Array, labels: np.ndarray, rng: np.random.Generator) -> Model:
-    bags = words_of(texts)
-    # Distinct words, so that a round touches each word's grams once.
-    sums = np.zeros(len(bags.codes) + 1, np.uint64)
-    power = np.full(len(bags.codes), np.uint64(0x9E3779B97F4A7C17))
+def _word_keys(bags: Bags) -> np.ndarray:
+    """A 64-bit hash of every word."""
+    base, inverse = 0x9E3779B97F4A7C17, pow(0x9E3779B97F4A7C17, -1, 2**64)
+    power = np.full(len(bags.codes), np.uint64(base))
     np.multiply.accumulate(power, out=power)
+    sums = np.zeros(len(bags.codes) + 1, np.uint64)
     np.cumsum(mix(bags.codes.astype(np.uint64)) * power, out=sums[1:])
-    inverse = np.full(len(bags.codes), np.uint64(pow(0x9E3779B97F4A7C17, -1, 2**64)))
-    np.multiply.accumulate(inverse, out=inverse)
-    keys = (sums[bags.ends] - sums[bags.starts]) * inverse[bags.starts]
-    del sums, power, inverse
-    _, sample, word = np.unique(keys, return_index=True, return_inverse=True)
-    starts, ends = bags.starts[sample], bags.ends[sample]
-    rows, buckets = [], []
-    for size, grams in _grams(bags.codes):
-        counts = np.maximum(ends - starts + 3 - size, 0)
-        owner = np.repeat(np.arange(len(sample)), counts)
-        place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        rows.append(owner.astype(np.int32))
-        buckets.append(grams[starts[owner] - 1 + place].astype(np.int32))
-    rows, buckets = np.concatenate(rows), np.concatenate(buckets)
-    share = 1.0 / np.maximum(np.bincount(rows, minlength=len(sample)), 1)
-
-    segments, bounds = _segments(bags.first)
+    power[:] = np.uint64(inverse)
+    np.multiply.accumulate(power, out=power)
+    return (sums[bags.ends] - sums[bags.starts]) * power[bags.starts]
+
+
+def _lexicon(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Every word's number, each text's first word, and the grams of the distinct words.
+
+    Texts are worked on a few at a time; the grams come as pairs (word number, bucket).
+    """
+    keys, first, known = [], [np.zeros(1, np.int64)], np.zeros(0, np.uint64)
+    owners, buckets = [], []
+    for begin in range(0, len(texts), 32):
+        bags = words_of(pa.array(texts[begin : begin + 32], pa.string()))
+        own = _word_keys(bags)
+        keys.append(own)
+        first.append(bags.first[1:] + first[-1][-1])
+        distinct, sample = np.unique(own, return_index=True)
+        fresh = ~np.isin(distinct, known)
+        distinct, sample = distinct[fresh], sample[fresh]
+        starts, ends = bags.starts[sample], bags.ends[sample]
+        for size, grams in _grams(bags.codes):
+            counts = np.maximum(ends - starts + 3 - size, 0)
+            owner = np.repeat(np.arange(len(sample)), counts)
+            place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            owners.append((owner + len(known)).astype(np.int32))
+            buckets.append(grams[starts[owner] - 1 + place].astype(np.int32))
+        known = np.concatenate([known, distinct])
+    order = np.argsort(known)
+    every = np.concatenate(keys) if keys else known
+    word = order[np.searchsorted(known, every, sorter=order)] if len(known) else every.astype(int)
+    return word, np.concatenate(first), np.concatenate(owners), np.concatenate(buckets)
+
+
+def _train(texts: list[str], labels: np.ndarray, rng: np.random.Generator) -> Model:
+    word, first, rows, buckets = _lexicon(texts)
+    count = int(word.max(initial=-1)) + 1
+    share = 1.0 / np.maximum(np.bincount(rows, minlength=count), 1)
+
+    segments, bounds = _segments(first)
     owner = np.repeat(np.arange(len(segments) - 1), np.diff(segments))
     size = np.diff(segments)
     text = np.repeat(np.arange(len(labels)), np.diff(bounds))
@@ -219,7 +242,7 @@ def _train(texts: pa.Array, labels: np.ndarray, rng: np.random.Generator) -> Mod
     speed = [np.zeros_like(vectors), np.zeros(DIM), 0.0]
     for t in range(1, ROUNDS + 1):
         weights = vectors @ softmax
-        score = np.bincount(rows, weights[buckets], len(sample)) * share
+        score = np.bincount(rows, weights[buckets], count) * share
         means = segment_means(score[word], segments)
         if t <= WARM:
             logit = np.bincount(text, means, len(labels)) / per_text + bias
@@ -231,7 +254,7 @@ def _train(texts: pa.Array, labels: np.ndarray, rng: np.random.Generator) -> Mod
             pull /= np.maximum(np.bincount(text, pull, len(labels)), 1)[text]
             logit = np.where(np.isfinite(top), top, 0.0) + bias
         error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels) * balance
-        by_word = np.bincount(word, (pull * error[text] / size)[owner], len(sample))
+        by_word = np.bincount(word, (pull * error[text] / size)[owner], count)
         by_bucket = np.bincount(buckets, (by_word * share)[rows], BUCKETS)
         # Plain momentum, one step size for all buckets: what many texts agree on moves, what
         # single texts would like to memorise hardly does.
