@@ -11,7 +11,7 @@ the rules do not know are judged by what they share with known ones.
 
 Features are counted over all candidates of all texts. The counts of at most ``CELLS``
 distinct feature combinations (the commonest) come to the driver, where the trees are fitted;
-each generator's threshold is the lowest score from which certain candidates are right in
+each generator's threshold is the lowest score above which certain candidates are right in
 ``PRECISION`` of all counted cases. Trees are then CASE expressions. All work on texts is
 DataFrame functions, each row on its own; nothing is shuffled but feature counts.
 
@@ -54,12 +54,23 @@ GENERATORS = {
         r"|(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+"
     ),
 }
-_HINTS = {
-    "email": r"[(\[{\x20]dot[)\]}\x20]|@",
-    "ip": r"[0-9]",
-    "digits": r"[0-9]",
-    "secret": r"(?i)passw|pwd|token|secret|key|[0-9]",
+# What a text must have for a pattern to match in it; looked up once per text. A secret without
+# a digit is never taken for one.
+_SIGNS = {
+    "_digit": lambda text: text.rlike("[0-9]"),
+    "_at": lambda text: text.contains("@"),
+    "_plus": lambda text: text.contains("+"),
+    "_dot": lambda text: text.rlike(r"[(\[{\x20]dot[)\]}\x20]"),
 }
+
+
+def _signed(documents: DataFrame, text: str) -> DataFrame:
+    body = F.coalesce(F.col(text), F.lit(""))
+    return documents.withColumn("_body", body).withColumns(
+        {name: sign(F.col("_body")) for name, sign in _SIGNS.items()}
+    )
+
+
 # Words before a candidate that say what it is, by class.
 _CONTEXT = [
     r"(?i)(?:phone|tel|call|mobile|fax|cell|whatsapp)\W*$",
@@ -76,71 +87,99 @@ _CONTEXT = [
 _STRIDE = 256
 
 
-def _places(text: Column, pattern: str) -> Column:
-    """Matches with start, match, and the text before and after up to the next ones.
+def _running(values: Column) -> Column:
+    """What comes before each value: sums of those to its left."""
+    start = F.struct(
+        F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("seen")
+    )
+    return F.aggregate(
+        values,
+        start,
+        lambda held, x: F.struct(
+            (held["sum"] + x).alias("sum"),
+            F.concat(held["seen"], F.array(held["sum"])).alias("seen"),
+        ),
+        lambda held: held["seen"],
+    )
 
-    Starts are running sums of the lengths between matches. They are summed in strides, so
-    that a text with very many matches takes time in proportion.
-    """
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    return F.when(F.size(matches) > 0, _summed(gaps, matches)).otherwise(_none())
 
+def _with_places(rows: DataFrame, patterns: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Add for each name the matches of its pattern: start, match, text before and after.
 
-def _summed(gaps: Column, matches: Column) -> Column:
-    zipped = F.arrays_zip(gaps.alias("gap"), matches.alias("match"))
-    long = F.lit(0).cast("long")
-    lengths = F.transform(
-        zipped,
-        lambda x: F.length(x["gap"]).cast("long") + F.coalesce(F.length(x["match"]), F.lit(0)),
+    Starts are running sums of the lengths between matches, summed in strides, so that a text
+    with very many matches takes time in proportion. Each step is a column of its own: an
+    expression that is used twice would search the text twice.
+    """
+    columns = rows.columns
+    body = F.col("_body")
+    none = F.array().cast("array<string>")
+    found = {}
+    for name, (sign, pattern) in patterns.items():
+        found[f"{name}_m"] = F.when(sign, F.regexp_extract_all(body, F.lit(pattern), F.lit(0)))
+    rows = rows.withColumns({name: F.coalesce(column, none) for name, column in found.items()})
+    rows = rows.withColumns(
+        {
+            f"{n}_g": F.when(F.size(f"{n}_m") > 0, F.split(body, p, -1)).otherwise(none)
+            for n, (_, p) in patterns.items()
+        }
     )
-    number = F.size(matches)
-
-    def running(values: Column) -> Column:
-        """What comes before each value."""
-        start = F.struct(long.alias("sum"), F.array().cast("array<bigint>").alias("seen"))
-        return F.aggregate(
-            values,
-            start,
-            lambda held, x: F.struct(
-                (held["sum"] + x).alias("sum"),
-                F.concat(held["seen"], F.array(held["sum"])).alias("seen"),
-            ),
-            lambda held: held["seen"],
+    rows = rows.withColumns(
+        {
+            f"{n}_l": F.zip_with(
+                F.slice(f"{n}_g", F.lit(1), F.size(f"{n}_m")),
+                f"{n}_m",
+                lambda gap, match: (F.length(gap) + F.length(match)).cast("long"),
+            )
+            for n in patterns
+        }
+    )
+
+    def strides(name: str) -> Column:
+        count = F.ceil(F.size(f"{name}_l") / _STRIDE).cast("int")
+        numbers = F.filter(F.sequence(F.lit(0), count), lambda k: k < count)
+        return F.transform(
+            numbers, lambda k: F.slice(f"{name}_l", k * _STRIDE + 1, F.lit(_STRIDE))
         )
 
-    strides = F.transform(
-        F.sequence(F.lit(0), F.floor((number - 1) / _STRIDE).cast("int")),
-        lambda k: F.slice(lengths, k * _STRIDE + 1, F.lit(_STRIDE)),
+    rows = rows.withColumns({f"{name}_s": strides(name) for name in patterns})
+    zero = F.lit(0).cast("long")
+    rows = rows.withColumns(
+        {
+            f"{n}_b": _running(
+                F.transform(f"{n}_s", lambda one: F.aggregate(one, zero, lambda x, y: x + y))
+            )
+            for n in patterns
+        }
     )
-    totals = F.transform(strides, lambda one: F.aggregate(one, long, lambda a, x: a + x))
-    starts = F.flatten(
-        F.zip_with(
-            running(totals),
-            strides,
-            lambda base, one: F.transform(running(one), lambda x: x + base),
+
+    def starts(name: str) -> Column:
+        return F.flatten(
+            F.zip_with(
+                f"{name}_b",
+                f"{name}_s",
+                lambda base, one: F.transform(_running(one), lambda x: x + base),
+            )
         )
-    )
-    return F.transform(
-        F.zip_with(
-            F.slice(starts, F.lit(1), number),
-            F.slice(zipped, F.lit(1), number),
-            lambda start, x: F.struct(start.alias("at"), x.alias("x")),
-        ),
-        lambda both, i: F.struct(
-            (both["at"] + F.length(both["x"]["gap"])).alias("start"),
-            both["x"]["match"].alias("match"),
-            F.right(both["x"]["gap"], F.lit(24)).alias("before"),
-            F.left(F.get(gaps, i + 1), F.lit(4)).alias("after"),
-        ),
-    )
+
+    def places(name: str) -> Column:
+        return F.transform(
+            F.arrays_zip(F.col(f"{name}_a").alias("at"), F.col(f"{name}_m").alias("match")),
+            lambda one, i: F.struct(
+                (one["at"] + F.length(F.get(f"{name}_g", i))).alias("start"),
+                one["match"].alias("match"),
+                F.right(F.get(f"{name}_g", i), F.lit(24)).alias("before"),
+                F.left(F.get(f"{name}_g", i + 1), F.lit(4)).alias("after"),
+            ),
+        )
+
+    rows = rows.withColumns({f"{name}_a": starts(name) for name in patterns})
+    return rows.select(*columns, *[places(name).alias(name) for name in patterns])
 
 
-_PLACE = "array<struct<start:bigint,match:string,before:string,after:string>>"
 _SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 
-def _none(kind: str = _PLACE) -> Column:
+def _none(kind: str) -> Column:
     return F.array().cast(kind)
 
 
@@ -181,18 +220,30 @@ def _span(kind: Column, start: Column, match: Column) -> Column:
     )
 
 
-def base_spans(text: Column) -> Column:
+def _base_spans() -> Column:
     """Spans of the base rules, by kind as listed, then start."""
 
-
-    def of(kind: str, hint: str) -> Column:
-        places = F.when(text.rlike(hint), _places(text, BASE[kind])).otherwise(_none())
+    def of(kind: str) -> Column:
         return F.transform(
-            F.filter(places, lambda place: _valid(kind, place["match"])),
+            F.filter(f"_base_{kind}", lambda place: _valid(kind, place["match"])),
             lambda place: _span(F.lit(kind), place["start"], place["match"]),
         )
 
-    return F.concat(of("email", "@"), of("ip", "[0-9]"), of("card", "[0-9]"), of("phone", r"\+"))
+    return F.concat(*[of(kind) for kind in BASE])
+
+
+_BASE_SIGNS = {"email": "_at", "ip": "_digit", "card": "_digit", "phone": "_plus"}
+
+
+def _base_patterns() -> dict[str, tuple[Column, str]]:
+    return {f"_base_{kind}": (F.col(_BASE_SIGNS[kind]), p) for kind, p in BASE.items()}
+
+
+def _generator_patterns() -> dict[str, tuple[Column, str]]:
+    def sign(name: str) -> Column:
+        return F.col("_at") | F.col("_dot") if name == "email" else F.col("_digit")
+
+    return {f"_any_{name}": (sign(name), p) for name, p in GENERATORS.items()}
 
 
 # --- candidates -------------------------------------------------------------
@@ -219,7 +270,7 @@ def _features(generator: int, place: Column) -> list[Column]:
         _bin(F.length(digits), [1, 4, 7, 9, 10, 11, 13, 15, 16, 17, 20]),
         _bin(F.length(groups), [1, 2, 3, 4, 5, 8]),
         _bin(longest, [1, 2, 3, 4, 5, 8, 12]),
-        match.rlike(r"^\+").cast("int") + 2 * match.rlike(r"[()\[\]]").cast("int"),
+        match.rlike(r"[()\[\]]").cast("int"),  # not the plus sign, which makes a number certain
         _bin(F.length(F.regexp_replace(match, "[^.]", "")), [1, 2, 3, 4]),
         match.rlike("[a-z]").cast("int") + 2 * match.rlike("[A-Z]").cast("int"),
         _bin(F.length(match), [4, 8, 12, 16, 20, 24, 32, 48]),
@@ -232,9 +283,6 @@ def _features(generator: int, place: Column) -> list[Column]:
     ]
 
 
-FEATURES = 13
-
-
 def _certain(generator: str, match: Column) -> Column:
     """1 or 0 where the rules are sure of a candidate, else null."""
     digits = F.length(_digits(match))
@@ -249,6 +297,7 @@ def _certain(generator: str, match: Column) -> Column:
             .when(_luhn(_digits(match)), 1)
             .when(digits < 7, 0)
             .when(~plus & (digits >= 13), 0)
+            .when(match.rlike("^[0-9]+$"), 0)
         )
     keyed = match.rlike(r"[=:]\s?\"?(?=[^\s]*[0-9])(?=[^\s]*[A-Za-z])[^\s]{8,}$")
     shape = match.rlike(r"^[A-Z]{4}(?=[A-Z0-9]*[0-9])[A-Z0-9]{16}$")
@@ -259,13 +308,12 @@ def _certain(generator: str, match: Column) -> Column:
 _CANDIDATE = "array<struct<generator:int,label:int,start:bigint,match:string,features:array<int>>>"
 
 
-def candidates(text: Column) -> Column:
+def _candidates() -> Column:
     """Every generator's spans with their features."""
 
-    def of(number: int, name: str, pattern: str) -> Column:
-        places = F.when(text.rlike(_HINTS[name]), _places(text, pattern)).otherwise(_none())
+    def of(number: int, name: str) -> Column:
         return F.transform(
-            places,
+            f"_any_{name}",
             lambda place: F.struct(
                 F.lit(number).alias("generator"),
                 _certain(name, place["match"]).alias("label"),
@@ -275,7 +323,7 @@ def candidates(text: Column) -> Column:
             ),
         ).cast(_CANDIDATE)
 
-    return F.concat(*[of(n, *item) for n, item in enumerate(GENERATORS.items())])
+    return F.concat(*[of(number, name) for number, name in enumerate(GENERATORS)])
 
 
 # --- boosted trees ----------------------------------------------------------
@@ -359,7 +407,12 @@ def fit_trees(x: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> Trees |
         right = np.cumsum((counts * labels)[own][order])
         seen = np.cumsum(counts[own][order])
         fits = np.flatnonzero((right + 2 * PRECISION) / (seen + 2) >= PRECISION)
-        lowest = float(scores[own][order][fits[-1]]) if len(fits) else np.inf
+        if not len(fits):
+            model.thresholds.append(np.inf)
+            continue
+        # Between the last score that still fits and the next one below it, at odds of 4 at least.
+        around = scores[own][order][fits[-1] : fits[-1] + 2]
+        lowest = float(around.mean()) if len(around) == 2 else -np.inf
         model.thresholds.append(max(lowest, float(np.log(4.0))))
     return model
 
@@ -368,7 +421,8 @@ def fit(documents: DataFrame, text: str = "text") -> Trees | None:
     """Count all candidates' features and fit the trees."""
     one = F.explode("found").alias("one")
     cells = (
-        documents.select(candidates(F.coalesce(F.col(text), F.lit(""))).alias("found"))
+        _with_places(_signed(documents.select(text), text).drop(text), _generator_patterns())
+        .select(_candidates().alias("found"))
         .select(one)
         .filter("one.label IS NOT NULL")
         .groupBy("one.features", "one.label")
@@ -386,29 +440,25 @@ def fit(documents: DataFrame, text: str = "text") -> Trees | None:
     )
 
 
-def _added(found: Column, base: Column, model: Trees) -> Column:
-    """Accepted candidates that overlap no base span, nor one of an earlier generator."""
+def _accepted(model: Trees) -> Column:
     limits = F.array(*[F.lit(t if np.isfinite(t) else 1e9) for t in model.thresholds])
-    accepted = F.filter(
-        found, lambda c: model.column(c["features"]) >= F.get(limits, c["generator"])
+    return F.filter(
+        "_found", lambda c: model.column(c["features"]) >= F.get(limits, c["generator"])
     )
 
-    def free(taken: Column, number: int, name: str) -> Column:
-        own = F.transform(
-            F.filter(accepted, lambda c: c["generator"] == number),
-            lambda c: _span(_kind(name, c["match"]), c["start"], c["match"]),
-        )
-        return F.filter(
-            own,
-            lambda s: ~F.exists(
-                taken, lambda t: (t["start"] < s["end"]) & (s["start"] < t["end"])
-            ),
-        )
 
-    kept = base
-    for number, name in enumerate(GENERATORS):
-        kept = F.concat(kept, free(kept, number, name))
-    return F.slice(kept, F.size(base) + 1, F.size(kept))
+def _free(number: int, name: str) -> Column:
+    """A generator's accepted spans that overlap none of ``_kept``."""
+    own = F.transform(
+        F.filter("_found", lambda c: c["generator"] == number),
+        lambda c: _span(_kind(name, c["match"]), c["start"], c["match"]),
+    )
+    return F.filter(
+        own,
+        lambda s: ~F.exists(
+            "_kept", lambda t: (t["start"] < s["end"]) & (s["start"] < t["end"])
+        ),
+    )
 
 
 def _kind(generator: str, match: Column) -> Column:
@@ -419,15 +469,20 @@ def _kind(generator: str, match: Column) -> Column:
 
 def find(documents: DataFrame, model: Trees | None, text: str = "text") -> DataFrame:
     """All columns plus base_spans and added_spans (arrays of kind, start, end)."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = documents.drop("base_spans", "added_spans").withColumn("base_spans", base_spans(body))
+    columns = [c for c in documents.columns if c not in ("base_spans", "added_spans")]
+    rows = _signed(documents.select(*columns), text)
+    patterns = _base_patterns() | (_generator_patterns() if model else {})
+    rows = _with_places(rows, patterns).withColumn("base_spans", _base_spans())
     if model is None:
-        return rows.withColumn("added_spans", _none(_SPAN))
-    return (
-        rows.withColumn("_found", candidates(body))
-        .withColumn("added_spans", _added(F.col("_found"), F.col("base_spans"), model))
-        .drop("_found")
+        return rows.select(*columns, "base_spans", _none(_SPAN).alias("added_spans"))
+    rows = rows.withColumn("_found", _candidates()).withColumns(
+        {"_found": _accepted(model), "_kept": F.col("base_spans")}
     )
+    # Each step is a column of its own, so that it is worked out once per text.
+    for number, name in enumerate(GENERATORS):
+        rows = rows.withColumn("_kept", F.concat("_kept", _free(number, name)))
+    added = F.slice("_kept", F.size("base_spans") + 1, F.size("_kept"))
+    return rows.select(*columns, "base_spans", added.alias("added_spans"))
 
 
 def listed(spans: Column) -> Column:
