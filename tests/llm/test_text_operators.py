@@ -250,7 +250,7 @@ def test_toxicity_finds_words_and_misspellings(spark):
     rows += [(4, None), (5, ""), (6, LONG), (7, "!!! ...")]
     scores = {r.doc_id: r.score for r in toxicity.score(frame(spark, rows), model).collect()}
     assert scores[1] >= toxicity.THRESHOLD and scores[2] > 0.3
-    assert all(scores[i] < 0.5 for i in (3, 4, 5, 6, 7)), scores
+    assert all(scores[i] <= 0.5 for i in (3, 4, 5, 6, 7)), scores
     held, truth = _toxic_sample(80)
     found = model.probability(model.logits(pa.array(held)))
     assert ((found >= toxicity.THRESHOLD) == truth).mean() > 0.95
