@@ -7,7 +7,9 @@ of keywords. A candidate is described by binned features of its format (digits,
 separators, letters, checksum) and of its context (the words before it, its neighbours).
 Boosted regression trees score it; they learn from the candidates that the rules can tell
 apart for certain (valid forms against versions, short numbers, failing checksums), so forms
-the rules do not know are judged by what they share with known ones.
+the rules do not know are judged by what they share with known ones. Addresses are described
+as if nothing in them were spelt out; a bare ``at`` without ``dot`` is told apart, and behind a
+plain word it is certain prose.
 
 Features are counted over all candidates of all texts. The counts of at most ``CELLS``
 distinct feature combinations (the commonest) come to the driver, where the trees are fitted;
@@ -54,13 +56,13 @@ GENERATORS = {
         r"|(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+"
     ),
 }
-# What a text must have for a pattern to match in it; looked up once per text. A secret without
-# a digit is never taken for one.
+# What a text must have for a pattern to match in it; looked up once per text. Whatever a pattern
+# matches has its sign.
 _SIGNS = {
     "_digit": lambda text: text.rlike("[0-9]"),
     "_at": lambda text: text.contains("@"),
     "_plus": lambda text: text.contains("+"),
-    "_dot": lambda text: text.rlike(r"[(\[{\x20]dot[)\]}\x20]"),
+    "_spelt": lambda text: text.rlike(rf"{_AT}[A-Za-z0-9-]++{_DOT}[A-Za-z0-9-]"),
 }
 
 
@@ -240,10 +242,11 @@ def _base_patterns() -> dict[str, tuple[Column, str]]:
 
 
 def _generator_patterns() -> dict[str, tuple[Column, str]]:
-    def sign(name: str) -> Column:
-        return F.col("_at") | F.col("_dot") if name == "email" else F.col("_digit")
-
-    return {f"_any_{name}": (sign(name), p) for name, p in GENERATORS.items()}
+    # Nothing cheaper than its pattern tells whether a text has a secret.
+    signs = {"email": F.col("_spelt"), "secret": F.lit(True)}
+    return {
+        f"_any_{name}": (signs.get(name, F.col("_digit")), p) for name, p in GENERATORS.items()
+    }
 
 
 # --- candidates -------------------------------------------------------------
@@ -257,15 +260,29 @@ def _bin(value: Column, edges: list[int]) -> Column:
     return out
 
 
-def _features(generator: int, place: Column) -> list[Column]:
-    match, before, after = place["match"], place["before"], place["after"]
+# An address, if one at all, with a bare ``at`` and nothing else spelt out: mostly prose.
+_BARE = r"^[^\x20]+\x20at\x20[A-Za-z0-9.-]+$"
+_DOMAIN = r"@(?!(?i:www)\.)(?:[A-Za-z0-9-]+\.)+(?:[A-Za-z]{2,}|(?i:xn--)[A-Za-z0-9-]+)$"
+
+
+def _plain(name: str, match: Column) -> Column:
+    """A match with its separators as they are when not spelt out."""
+    if name == "email":
+        return F.regexp_replace(F.regexp_replace(match, _AT, "@"), _DOT, ".")
+    return match
+
+
+def _features(generator: int, name: str, place: Column) -> list[Column]:
+    match, before, after = _plain(name, place["match"]), place["before"], place["after"]
     digits = _digits(match)
     groups = F.regexp_replace(F.regexp_replace(match, "[0-9]+", "#"), "[^#]", "")
     longest = F.array_max(F.transform(F.split(match, "[^0-9]+"), lambda x: F.length(x)))
     context = F.lit(0)
     for number, pattern in enumerate(_CONTEXT, 1):
         context = F.when(before.rlike(pattern), number).otherwise(context)
+    bare = place["match"].rlike(_BARE).cast("int") if name == "email" else F.lit(1)
     return [
+        bare,  # before the generator, so that trees prefer it where both tell the same
         F.lit(generator),
         _bin(F.length(digits), [1, 4, 7, 9, 10, 11, 13, 15, 16, 17, 20]),
         _bin(F.length(groups), [1, 2, 3, 4, 5, 8]),
@@ -274,7 +291,7 @@ def _features(generator: int, place: Column) -> list[Column]:
         _bin(F.length(F.regexp_replace(match, "[^.]", "")), [1, 2, 3, 4]),
         match.rlike("[a-z]").cast("int") + 2 * match.rlike("[A-Z]").cast("int"),
         _bin(F.length(match), [4, 8, 12, 16, 20, 24, 32, 48]),
-        match.rlike(r"[=:]").cast("int") + 2 * match.rlike("@").cast("int"),
+        match.rlike(r"[=:]").cast("int"),
         _luhn(digits).cast("int"),
         match.rlike(r"^[0-9]{1,3}(?:\D+[0-9]{1,3}){3}$").cast("int")
         + 2 * match.rlike(r"^\+?(?:[0-9]{1,3}\W{1,2})?\(?[0-9]{3}\W{1,3}[0-9]{3}\W[0-9]{4}$").cast("int"),
@@ -283,11 +300,18 @@ def _features(generator: int, place: Column) -> list[Column]:
     ]
 
 
-def _certain(generator: str, match: Column) -> Column:
+def _certain(generator: str, place: Column) -> Column:
     """1 or 0 where the rules are sure of a candidate, else null."""
+    match = place["match"]
     digits = F.length(_digits(match))
     if generator == "email":
-        return F.when(match.contains("@"), 1)
+        # A word, "at" and a domain are prose, unless they follow a word for mail.
+        prose = match.rlike(_BARE) & match.rlike(r"^[A-Za-z]+\x20")
+        return (
+            F.when(match.rlike(r"^[^\x20()\[\]{}]+$"), 1)
+            .when(~_plain(generator, match).rlike(_DOMAIN), 0)
+            .when(prose & ~place["before"].rlike(_CONTEXT[1]), 0)
+        )
     if generator == "ip":
         return _valid("ip", match).cast("int")
     if generator == "digits":
@@ -316,10 +340,10 @@ def _candidates() -> Column:
             f"_any_{name}",
             lambda place: F.struct(
                 F.lit(number).alias("generator"),
-                _certain(name, place["match"]).alias("label"),
+                _certain(name, place).alias("label"),
                 place["start"].alias("start"),
                 place["match"].alias("match"),
-                F.array(*_features(number, place)).alias("features"),
+                F.array(*_features(number, name, place)).alias("features"),
             ),
         ).cast(_CANDIDATE)
 
@@ -402,7 +426,7 @@ def fit_trees(x: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> Trees |
         model.trees.append(tree)
     scores = model.scores(x)
     for generator in range(len(GENERATORS)):
-        own = x[:, 0] == generator
+        own = x[:, 1] == generator
         order = np.argsort(-scores[own], kind="stable")
         right = np.cumsum((counts * labels)[own][order])
         seen = np.cumsum(counts[own][order])

@@ -221,6 +221,49 @@ def test_trees_add_unknown_forms_and_leave_clean_text(spark):
     assert found[4] == ("", None)
 
 
+def _labels(spark, texts):
+    """Every candidate of the texts, with the label the rules give it."""
+    rows = frame(spark, list(enumerate(texts)))
+    places = pii._with_places(pii._signed(rows, "text"), pii._generator_patterns())
+    found = places.select(F.explode(pii._candidates()).alias("one")).select("one.*").collect()
+    return {(list(pii.GENERATORS)[r.generator], r.match): r.label for r in found}
+
+
+def test_spelt_addresses_and_secrets_need_no_other_sign(spark):
+    assert _labels(spark, ["so jane (at) example.org", "or kim [at] example.net", "it is at home"]) == {
+        ("email", "jane (at) example.org"): None,
+        ("email", "kim [at] example.net"): None,
+    }
+    assert _labels(spark, ["password: swordfishlake", "see internationalization"]) == {
+        ("secret", "password: swordfishlake"): 0,
+        ("secret", "internationalization"): 0,
+    }
+    assert _labels(spark, ["look at www.example.org", "mail jane at example.org", "x [at] 3.5"]) == {
+        ("email", "look at www.example.org"): 0,
+        ("email", "jane at example.org"): None,
+        ("email", "x [at] 3.5"): 0,
+        ("ip", "3.5"): 0,
+        ("digits", "3.5"): 0,
+    }
+
+
+def test_spelt_addresses_are_added_and_prose_is_not(spark):
+    known = [(i, f"mail kim{'abcdefghij'[i % 10]}@example.org today") for i in range(60)]
+    known += [(100 + i, f"version {i % 7}.{i % 3} of it") for i in range(60)]
+    prose = [(200 + i, f"the shop {'is was open'.split()[i % 3]} at example.com") for i in range(30)]
+    asked = [
+        (1, "so jane (at) example.org"),
+        (2, "so jane [at] example [dot] org"),
+        (3, "it was hosted at example.org"),
+    ]
+    for rows in (known, known + prose):
+        found = pii.find(frame(spark, asked), pii.fit(frame(spark, rows))).select(
+            "doc_id", pii.listed(F.col("added_spans")).alias("spans")
+        )
+        spans = {r.doc_id: r.spans for r in found.collect()}
+        assert spans == {1: "email:3:24", 2: "email:3:30", 3: ""}
+
+
 def test_personal_data_of_nothing(spark):
     assert pii.fit(empty(spark)) is None
     assert pii.find(empty(spark), None).collect() == []
