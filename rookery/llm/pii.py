@@ -8,7 +8,7 @@ separators, letters, checksum) and of its context (the words before it, its neig
 Boosted regression trees score it; they learn from the candidates that the rules can tell
 apart for certain (valid forms against versions, short numbers, failing checksums), so forms
 the rules do not know are judged by what they share with known ones. Addresses are described
-as if nothing in them were spelt out; a bare ``at`` without ``dot`` is told apart, and behind a
+as if nothing in them were spelt out or in brackets; a bare ``at`` without ``dot`` is told apart, and behind a
 plain word it is certain prose.
 
 Features are counted over all candidates of all texts. The counts of at most ``CELLS``
@@ -269,6 +269,8 @@ def _plain(name: str, match: Column) -> Column:
     """A match with its separators as they are when not spelt out."""
     if name == "email":
         return F.regexp_replace(F.regexp_replace(match, _AT, "@"), _DOT, ".")
+    if name == "ip":
+        return F.regexp_replace(match, r"[()\[\]]", "")
     return match
 
 
@@ -281,6 +283,7 @@ def _features(generator: int, name: str, place: Column) -> list[Column]:
     for number, pattern in enumerate(_CONTEXT, 1):
         context = F.when(before.rlike(pattern), number).otherwise(context)
     bare = place["match"].rlike(_BARE).cast("int") if name == "email" else F.lit(1)
+    address = _valid("ip", match).cast("int") if name == "ip" else F.lit(0)
     return [
         bare,  # before the generator, so that trees prefer it where both tell the same
         F.lit(generator),
@@ -292,7 +295,7 @@ def _features(generator: int, name: str, place: Column) -> list[Column]:
         match.rlike("[a-z]").cast("int") + 2 * match.rlike("[A-Z]").cast("int"),
         _bin(F.length(match), [4, 8, 12, 16, 20, 24, 32, 48]),
         match.rlike(r"[=:]").cast("int"),
-        _luhn(digits).cast("int"),
+        _luhn(digits).cast("int") + 2 * address,
         match.rlike(r"^[0-9]{1,3}(?:\D+[0-9]{1,3}){3}$").cast("int")
         + 2 * match.rlike(r"^\+?(?:[0-9]{1,3}\W{1,2})?\(?[0-9]{3}\W{1,3}[0-9]{3}\W[0-9]{4}$").cast("int"),
         context,
@@ -313,7 +316,8 @@ def _certain(generator: str, place: Column) -> Column:
             .when(prose & ~place["before"].rlike(_CONTEXT[1]), 0)
         )
     if generator == "ip":
-        return _valid("ip", match).cast("int")
+        # Plain valid addresses are base spans; those with brackets are what this may add.
+        return F.when(~match.rlike(r"[(\[]"), _valid("ip", match).cast("int"))
     if generator == "digits":
         plus = match.startswith("+")
         return (

@@ -264,6 +264,29 @@ def test_spelt_addresses_are_added_and_prose_is_not(spark):
         assert spans == {1: "email:3:24", 2: "email:3:30", 3: ""}
 
 
+def test_numbers_in_brackets_are_judged_as_plain_ones(spark):
+    assert _labels(spark, ["10[.]0[.]0[.]1"]) == {
+        ("ip", "10[.]0[.]0[.]1"): None,
+        ("digits", "10"): 0,
+    }
+    known = [(i, f"host 10.{i}.7.{i + 3} and 12[.]{i}[.]0[.]4 up") for i in range(60)]
+    known += [(100 + i, f"version {i}.{i % 3}.1 or 3.{300 + i}.1.2") for i in range(60)]
+    asked = [
+        (1, "see 10[.]0[.]0[.]1 now"),
+        (2, "see 10(.)0(.)0(.)1 now"),
+        (3, "see 10[.]999[.]0[.]1 now"),
+        (4, "see 3[.]2[.]1 now"),
+    ]
+    found = pii.find(frame(spark, asked), pii.fit(frame(spark, known)))
+    spans = {r.doc_id: r.added_spans for r in found.collect()}
+    assert [[(s.kind, s.start, s.end) for s in spans[i]] for i in (1, 2, 3, 4)] == [
+        [("ip", 4, 18)],
+        [("ip", 4, 18)],
+        [],
+        [],
+    ]
+
+
 def test_personal_data_of_nothing(spark):
     assert pii.fit(empty(spark)) is None
     assert pii.find(empty(spark), None).collect() == []
