@@ -12,10 +12,11 @@ as if nothing in them were spelt out or in brackets; a bare ``at`` without ``dot
 plain word it is certain prose.
 
 Features are counted over all candidates of all texts. The counts of at most ``CELLS``
-distinct feature combinations (the commonest) come to the driver, where the trees are fitted;
-each generator's threshold is the lowest score above which certain candidates are right in
-``PRECISION`` of all counted cases. Trees are then CASE expressions. All work on texts is
-DataFrame functions, each row on its own; nothing is shuffled but feature counts.
+distinct feature combinations (the commonest) come to the driver, where the trees are fitted.
+Trees are then CASE expressions. They score all counted combinations, the rare ones too, and
+each generator's threshold is the lowest score (in bins) above which certain candidates are
+right in ``PRECISION`` of all cases. All work on texts is DataFrame functions, each row on its
+own; nothing is shuffled but feature counts.
 
 Added spans never overlap base spans, nor each other (earlier generators win). Nulls and empty
 texts have no spans. Without certain candidates of both sorts nothing is added. Positions are
@@ -29,9 +30,12 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rookery.llm.batches import stage
+
 CELLS = 20_000
 TREES, DEPTH, RATE = 24, 3, 0.4
 PRECISION = 0.95
+BINS, LIMIT = 64, 32.0  # score bins a unit of log-odds, the highest odds told apart
 KINDS = ["email", "ip", "card", "phone", "secret"]
 
 # Base patterns. Look-behinds and possessive runs only keep the matcher linear; matches are
@@ -428,44 +432,64 @@ def fit_trees(x: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> Trees |
         p = 1 / (1 + np.exp(-model.scores(x)))
         tree = _grow(x, weight * (labels - p), weight * np.maximum(p * (1 - p), 1e-6), DEPTH)
         model.trees.append(tree)
-    scores = model.scores(x)
+    return model
+
+
+def calibrate(model: Trees, cells: DataFrame) -> None:
+    """Set each generator's threshold by all cells (features, label, n), whatever their number.
+
+    Their scores are rounded down to bins, so what comes to the driver is bounded.
+    """
+    score = F.greatest(F.least(model.column(F.col("features")), F.lit(LIMIT)), F.lit(-LIMIT))
+    bins = (
+        cells.select(
+            F.get("features", F.lit(1)).alias("generator"),
+            F.floor(score * BINS).alias("bin"),
+            "n",
+            (F.col("n") * F.col("label")).alias("right"),
+        )
+        .groupBy("generator", "bin")
+        .agg(F.sum("n").alias("seen"), F.sum("right").alias("right"))
+        .collect()
+    )
     for generator in range(len(GENERATORS)):
-        own = x[:, 1] == generator
-        order = np.argsort(-scores[own], kind="stable")
-        right = np.cumsum((counts * labels)[own][order])
-        seen = np.cumsum(counts[own][order])
+        own = sorted((b for b in bins if b["generator"] == generator), key=lambda b: -b["bin"])
+        right = np.cumsum([b["right"] for b in own])
+        seen = np.cumsum([b["seen"] for b in own])
         fits = np.flatnonzero((right + 2 * PRECISION) / (seen + 2) >= PRECISION)
         if not len(fits):
             model.thresholds.append(np.inf)
             continue
-        # Between the last score that still fits and the next one below it, at odds of 4 at least.
-        around = scores[own][order][fits[-1] : fits[-1] + 2]
-        lowest = float(around.mean()) if len(around) == 2 else -np.inf
+        # Between the last bin that still fits and the next one below it, at odds of 4 at least.
+        around = [b["bin"] for b in own[fits[-1] : fits[-1] + 2]]
+        lowest = (around[0] + around[1] + 1) / 2 / BINS if len(around) == 2 else -np.inf
         model.thresholds.append(max(lowest, float(np.log(4.0))))
-    return model
 
 
 def fit(documents: DataFrame, text: str = "text") -> Trees | None:
-    """Count all candidates' features and fit the trees."""
-    one = F.explode("found").alias("one")
-    cells = (
+    """Count all candidates' features, fit the trees and set the thresholds."""
+    # The outer form, as the plain one would be searched for empty arrays first: all work twice.
+    one = F.explode_outer("found").alias("one")
+    counted = (
         _with_places(_signed(documents.select(text), text).drop(text), _generator_patterns())
         .select(_candidates().alias("found"))
         .select(one)
         .filter("one.label IS NOT NULL")
         .groupBy("one.features", "one.label")
         .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "features", "label")
-        .limit(CELLS)
-        .collect()
     )
+    counted = stage(counted, "pii-cells")
+    cells = counted.orderBy(F.desc("n"), "features", "label").limit(CELLS).collect()
     if not cells:
         return None
-    return fit_trees(
+    model = fit_trees(
         np.array([cell["features"] for cell in cells], np.int64),
         np.array([cell["label"] for cell in cells], np.float64),
         np.array([cell["n"] for cell in cells], np.float64),
     )
+    if model is not None:
+        calibrate(model, counted)
+    return model
 
 
 def _accepted(model: Trees) -> Column:

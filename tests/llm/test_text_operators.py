@@ -287,6 +287,18 @@ def test_numbers_in_brackets_are_judged_as_plain_ones(spark):
     ]
 
 
+def test_thresholds_count_forms_that_the_trees_have_not_seen(spark, monkeypatch):
+    known = [(i, f"call +1 ({300 + i}) 555-{2000 + i} and so on") for i in range(100)]
+    known += [(100 + i, "an internationalization text") for i in range(60)]
+    rare = ["12", "1234", "1 2 3", "1 2 3 4", "12 34", "123 4", "123 456", "1-2-3-4-5", "12345"]
+    rare += ["123456789", "1234567890", "12345678901", "1 23", "1 2 3 4 5 6", "1234567"]
+    known += [(200 + i, f"seen {form} times") for i, form in enumerate(rare)]
+    digits = list(pii.GENERATORS).index("digits")
+    monkeypatch.setattr(pii, "CELLS", 2)
+    assert pii.fit(frame(spark, known[:160])).thresholds[digits] < 10
+    assert pii.fit(frame(spark, known)).thresholds[digits] == np.inf
+
+
 def test_personal_data_of_nothing(spark):
     assert pii.fit(empty(spark)) is None
     assert pii.find(empty(spark), None).collect() == []
