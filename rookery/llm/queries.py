@@ -10,11 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rookery.llm import (
     bpe,
     fingerprints,
+    manifest,
     mixing,
     neardup,
+    paritysketch,
     pii,
     rangecoder,
     ring,
+    spelling,
     substrings,
     topk,
     toxicity,
@@ -149,6 +152,37 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all rows, a third of which show their text in lower case."""
+    documents = _read(spark, sf_dir, "documents", *LEAF)
+    lower = F.translate("text", spelling.UPPER, spelling.LOWER)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    shown = {"text": F.when(tampered, lower).otherwise(F.col("text"))}
+    made = manifest.build(documents, LEAF, "lang", "doc_id", shown)
+    return manifest.climb(made).select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        F.lit(made.root).alias("root"),
+        F.sha2("proof", 256).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.lit(made.root)).alias("verified"),
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents", "doc_id", "text")
+    words = spelling.counted(spelling.runs(documents))
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paritysketch.linked_classes(_read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_ring": op2_ring,
@@ -160,8 +194,43 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_neardup": op9_neardup,
     "op10_substrings": op10_substrings,
+    "op11_manifest": op11_manifest,
+    "op12_spelling": op12_spelling,
+    "op13_parity": op13_parity,
 }
 
+# CRC-32 in SQL: the table of 256 remainders, and its use on a list of bytes.
+_CRC_TABLE = """
+    crc_table AS (
+        SELECT list(c ORDER BY i) AS t FROM (
+            SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1
+                THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) r(i))
+    )
+"""
+
+
+def _crc32(octets: str) -> str:
+    return (
+        f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), "
+        "4294967295), 4294967295)"
+    )
+
+
+def _ascii(text: str) -> str:
+    return f"list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT))"
+
+
+def _leaf(text: str) -> str:
+    values = ("doc_id", "source", "lang", "n_chars", text)
+    shown = [
+        f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')" for v in values
+    ]
+    return f"sha256({' || '.join(shown)})"
+
+
+_LOWER = f"translate(text, '{spelling.UPPER}', '{spelling.LOWER}')"
+
+
 ORACLES: dict[str, str] = {
     "op8_topk": """
         WITH vectors AS (
@@ -243,4 +312,174 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(t, '')) AS kept_sha256
         FROM words LEFT JOIN kept USING (doc_id)
     """,
+    "op11_manifest": f"""
+        WITH RECURSIVE {_CRC_TABLE},
+        leaves AS (
+            SELECT doc_id, lang, {_leaf('text')} AS leaf,
+                   CASE WHEN {_crc32(_ascii('CAST(doc_id AS VARCHAR)'))} % 3 = 0
+                        THEN {_leaf(_LOWER)} ELSE {_leaf('text')} END AS claim
+            FROM documents, crc_table
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+            FROM leaves
+        ),
+        tree(lang, level, pos, digest, n) AS (
+            SELECT lang, 0, pos, leaf, count(*) OVER (PARTITION BY lang) FROM placed
+            UNION ALL
+            SELECT lang, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)),
+                   (n + 7) // 8
+            FROM tree WHERE n > 1 GROUP BY lang, level, n, pos // 8
+        ),
+        subroots AS (
+            SELECT lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos,
+                   count(*) OVER () AS n
+            FROM tree WHERE n = 1
+        ),
+        top(level, pos, digest, n) AS (
+            SELECT 0, pos, digest, n FROM subroots
+            UNION ALL
+            SELECT level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+            FROM top WHERE n > 1 GROUP BY level, n, pos // 8
+        ),
+        inner_steps AS (
+            SELECT lang, level, pos, digest,
+                   coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+                                                         AND 1 PRECEDING), '') AS l,
+                   coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING
+                                                         AND UNBOUNDED FOLLOWING), '') AS r
+            FROM tree WHERE n > 1
+            WINDOW w AS (PARTITION BY lang, level, pos // 8 ORDER BY pos)
+        ),
+        top_steps AS (
+            SELECT level, pos, digest,
+                   coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+                                                         AND 1 PRECEDING), '') AS l,
+                   coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING
+                                                         AND UNBOUNDED FOLLOWING), '') AS r
+            FROM top WHERE n > 1
+            WINDOW w AS (PARTITION BY level, pos // 8 ORDER BY pos)
+        ),
+        climb(doc_id, lang, leaf, k, level, pos, folded, proof) AS (
+            SELECT doc_id, lang, leaf, pos, 0, pos, claim, '' FROM placed
+            UNION ALL
+            SELECT c.doc_id, c.lang, c.leaf, c.k, c.level + 1, c.pos // 8,
+                   sha256(s.l || c.folded || s.r), c.proof || s.l || s.r
+            FROM climb c JOIN inner_steps s
+            ON s.lang IS NOT DISTINCT FROM c.lang AND s.level = c.level AND s.pos = c.pos
+        ),
+        at_subroot AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, doc_id, k ORDER BY level DESC) AS last
+            FROM climb
+        ),
+        on_top(doc_id, leaf, k, subroot, level, pos, folded, proof) AS (
+            SELECT c.doc_id, c.leaf, c.k, s.digest, 0, s.pos, c.folded, c.proof
+            FROM at_subroot c JOIN subroots s ON s.lang IS NOT DISTINCT FROM c.lang
+            WHERE c.last = 1
+            UNION ALL
+            SELECT c.doc_id, c.leaf, c.k, c.subroot, c.level + 1, c.pos // 8,
+                   sha256(s.l || c.folded || s.r), c.proof || s.l || s.r
+            FROM on_top c JOIN top_steps s ON s.level = c.level AND s.pos = c.pos
+        ),
+        ended AS (
+            SELECT *, row_number() OVER (PARTITION BY subroot, doc_id, k ORDER BY level DESC) AS last
+            FROM on_top
+        )
+        SELECT e.doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256,
+               folded AS folded_root, folded = t.digest AS verified
+        FROM ended e, top t WHERE e.last = 1 AND t.n = 1
+    """,
+    "op12_spelling": rf"""
+        WITH RECURSIVE {_CRC_TABLE},
+        found AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+                   unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+            FROM documents
+        ),
+        long AS (SELECT id, run, count(*) AS k FROM found WHERE length(run) >= 7 GROUP BY ALL),
+        coded AS (
+            SELECT run, k, {_crc32(
+                "flatten(list_transform(string_split(id || ':' || run, ''), "
+                "lambda x: CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)] "
+                "ELSE [192 | CAST(ord(x) AS BIGINT) >> 6, 128 | (CAST(ord(x) AS BIGINT) & 63)] END))"
+            )} AS h
+            FROM long, crc_table
+        ),
+        cut AS (
+            SELECT k, CASE WHEN h % 31 = 0
+                THEN left(run, CAST(h % length(run) AS INT))
+                     || substr(run, CAST(h % length(run) AS INT) + 2)
+                ELSE run END AS word
+            FROM coded
+        ),
+        words AS (
+            SELECT word, CAST(sum(k) AS BIGINT) AS n FROM cut WHERE length(word) >= 7
+            GROUP BY word HAVING sum(k) >= 2
+        ),
+        -- words that differ by one edit agree with one code point left out or none
+        parts AS (
+            SELECT word, length(word) AS len, p, left(word, p - 1) || substr(word, p + 1) AS rest
+            FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words)
+        ),
+        pairs AS (
+            SELECT a.word AS x, b.word AS y FROM parts a JOIN parts b
+            ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+            UNION
+            SELECT a.word, b.word FROM parts a JOIN words b ON a.rest = b.word
+            UNION
+            SELECT b.word, a.word FROM parts a JOIN words b ON a.rest = b.word
+        ),
+        ranked AS (
+            SELECT x, y, w.n AS m, count(*) OVER (PARTITION BY x) AS n_near,
+                   row_number() OVER (PARTITION BY x ORDER BY w.n DESC, y) AS k
+            FROM pairs JOIN words w ON w.word = y
+        ),
+        forms AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near,
+                   CASE WHEN m >= 10 * n THEN y END AS form,
+                   CASE WHEN m >= 10 * n THEN m END AS form_n
+            FROM words LEFT JOIN ranked ON x = word AND k = 1
+        ),
+        chain(word, root, form) AS (
+            SELECT word, word, form FROM forms
+            UNION ALL
+            SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.form
+        )
+        SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+        FROM forms f JOIN chain c ON c.word = f.word AND c.form IS NULL
+    """,
+    "op13_parity": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, s FROM (
+                SELECT doc_id, unnest(CASE
+                    WHEN len(w) = 0 THEN []
+                    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                    ELSE list_transform(range(1, len(w) - 3),
+                                        lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+                FROM words)
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n
+            HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+        ),
+        reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+        ),
+        lowest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM documents d JOIN lowest USING (doc_id) LEFT JOIN sizes USING (doc_id)
+    """,
 }
