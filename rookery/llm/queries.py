@@ -402,7 +402,7 @@ ORACLES: dict[str, str] = {
             SELECT run, k, {_crc32(
                 "flatten(list_transform(string_split(id || ':' || run, ''), "
                 "lambda x: CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)] "
-                "ELSE [192 | CAST(ord(x) AS BIGINT) >> 6, 128 | (CAST(ord(x) AS BIGINT) & 63)] END))"
+                "ELSE [192 | (CAST(ord(x) AS BIGINT) >> 6), 128 | (CAST(ord(x) AS BIGINT) & 63)] END))"
             )} AS h
             FROM long, crc_table
         ),
