@@ -22,11 +22,13 @@ order that both sets share, those of most tokens first, and one that both keep i
 with fewer words keep all, empty blocks included, which match only among such sets. Equal words
 make a bucket, the pigeonhole join.
 
-Equal sets are one representative. Buckets are not paired out: every member is first compared
-with one pivot, and classes found so are never compared within. What is left of a bucket is
-compared in blocks of ``CHUNK`` rows; in two rounds a member hands on its closest pair only, in
-the last one the texts meet where they are compared. Bit sketches prune, full sets (64-bit
-shingle hashes) confirm. Nothing is gathered on the driver but bounded bitmaps.
+Equal sets are one representative. Every member of a bucket is first compared with one pivot,
+and classes found so are never compared within. In buckets of at most ``FEW`` members the pairs
+of different classes are then listed, each once however many buckets it shares. Larger buckets
+are never paired out: what is left of them is compared in blocks of ``CHUNK`` rows; in two
+rounds a member hands on its closest pair only, in the last one the texts meet where they are
+compared. Bit sketches prune, full sets (64-bit shingle hashes) confirm. Nothing is gathered
+on the driver but bounded bitmaps.
 
 Null ids and texts, empty texts: a document without words is linked with nothing. Rows that
 share a doc_id are told apart by their texts and linked like others; a null id is the smallest.
@@ -57,6 +59,7 @@ from rookery.llm.batches import (
 
 SHINGLE = 5
 CHUNK = graph.CHUNK
+FEW = 32  # members of a bucket whose pairs are listed
 ROUNDS = 2
 TOKENS = 3.5  # tokens a block at the top of a band
 _WORDS = 16  # sketch words compared before pairs are given up
@@ -413,26 +416,52 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # --- classes ----------------------------------------------------------------
 
 
+def _pruned(pairs: DataFrame, signatures: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links among pairs (a, b)."""
+    both = pairs.join(signatures.toDF("a", "left"), "a").join(signatures.toDF("b", "right"), "b")
+    return confirm(stage(both.mapInArrow(_prune, graph.PAIR), "pairs"), texts)
+
+
 def _first_links(buckets: DataFrame, signatures: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between each member and its smallest pivot."""
     pairs = (
         buckets.filter("rep != pivot")
         .groupBy(F.col("rep").alias("a"))
         .agg(F.min("pivot").alias("b"))
-        .join(signatures.toDF("a", "left"), "a")
-        .join(signatures.toDF("b", "right"), "b")
     )
-    return confirm(pairs.mapInArrow(_prune, graph.PAIR), texts)
+    return _pruned(pairs, signatures, texts)
+
+
+def _few_links(buckets, comps, signatures, texts) -> DataFrame:
+    """All links between classes in buckets of few members."""
+    members = (
+        buckets.filter(F.col("n") <= FEW)
+        .join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+        .select("key", "rep", F.coalesce("comp", "rep").alias("comp"))
+    )
+    pairs = (
+        members.toDF("key", "a", "c")
+        .join(members.toDF("key", "b", "d"), "key")
+        .filter("a > b AND c != d")
+        .select("a", "b")
+        .distinct()
+    )
+    return _pruned(pairs, signatures, texts)
+
+
+def _many(buckets: DataFrame) -> DataFrame:
+    return buckets.filter(F.col("n") > FEW)
 
 
 def _closest_links(buckets, comps, signatures, texts) -> DataFrame:
-    rows = graph._in_order(graph._mixed(buckets, comps, signatures))
-    return confirm(rows.mapInArrow(_closest, graph.PAIR).distinct(), texts)
+    """Links among the closest pairs between classes."""
+    rows = graph._in_order(graph._mixed(_many(buckets), comps, signatures))
+    return confirm(stage(rows.mapInArrow(_closest, graph.PAIR).distinct(), "pairs"), texts)
 
 
 def _all_links(buckets, comps, signatures, texts) -> DataFrame:
     """Links between classes, one per member and class at least."""
-    rows = graph._mixed(buckets, comps, signatures)
+    rows = graph._mixed(_many(buckets), comps, signatures)
     lights = rows.filter("side = 0").select("rep").distinct().count()
     met = graph._in_order(rows).mapInArrow(
         _active(-(-lights // CHUNK) or 1), "side LONG, rep LONG, groups ARRAY<LONG>"
@@ -482,7 +511,7 @@ def classes(documents: DataFrame) -> DataFrame:
         keys.groupBy("key")
         .agg(F.min("rep").alias("pivot"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("key", "pivot"),
+        .select("key", "pivot", "n"),
         "shared",
     )
     buckets = stage(keys.filter(key_filter(shared, "key")).join(shared, "key"), "buckets")
@@ -504,7 +533,7 @@ def classes(documents: DataFrame) -> DataFrame:
         "texts",
     )
     named = graph.components(_first_links(buckets, signatures, texts))
-    for links_of in (*[_closest_links] * ROUNDS, _all_links):
+    for links_of in (_few_links, *[_closest_links] * ROUNDS, _all_links):
         links = stage(graph._contract(links_of(buckets, named, signatures, texts), named), "links")
         if not links.isEmpty():
             named = stage(graph._named(named, graph.components(links)), "named")
