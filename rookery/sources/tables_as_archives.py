@@ -98,8 +98,11 @@ def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{DAY_ZERO} + (unix_seconds(CAST(o_orderdate AS TIMESTAMP)) - {DAY_ZERO}) div 691200 * 86400"
         " AS placed",
     )
+    # The table may be one row group. Its five narrow columns are dealt out before texts of a
+    # hundred times their size are made of them.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = (
-        orders
+        orders.repartition(partitions, "k")
         .withColumn("ended", F.expr("placed + (k * 7919) % 86400"))
         .withColumns(
             {

@@ -33,8 +33,9 @@ def test_rows_without_id_date_or_standard_rules_are_left_out(raw):
 def test_window_is_inclusive_and_prunes_landing_months(raw):
     records = [game(1), game(2, end_time=1_788_220_799), game(3, month=7)]  # 2: 2026-08-31 23:59:59
     window = (dt.date(2026, 8, 15), dt.date(2026, 8, 31))
-    assert {r.game_id for r in silver.clean_games(raw(records), *window).collect()} == {"1", "2"}
-    wide = silver.clean_games(raw(records), *window, slack_months=1)
+    exact = silver.clean_games(raw(records), *window, slack_months=0)
+    assert {r.game_id for r in exact.collect()} == {"1", "2"}
+    wide = silver.clean_games(raw(records), *window)  # one month more by default
     assert {r.game_id for r in wide.collect()} == {"1", "2", "3"}
 
 

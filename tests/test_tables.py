@@ -129,10 +129,13 @@ def test_landing_overwrites_exactly_one_unit(spark, folder, raw):
 def test_scans_prune_months(spark, folder, raw):
     path = f"{folder}/games"
     landing.land_units(raw([game(1), game(2, month=7), game(3, year=2025)]), path, ["year", "month"])
-    window = silver.prune_months(bronze.raw_games(spark, path), D(2026, 8, 1), D(2026, 8, 31))
+    days = D(2026, 8, 1), D(2026, 8, 31)
+    window = silver.prune_months(bronze.raw_games(spark, path), *days, slack_months=0)
     plan = window._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
     assert [r.fen for r in window.collect()] == ["fen-1"]
+    wide = silver.prune_months(bronze.raw_games(spark, path), *days)
+    assert {r.fen for r in wide.collect()} == {"fen-1", "fen-2"}
 
 
 def test_reshaping_of_documents(spark):
