@@ -133,27 +133,32 @@ class Model:
 
 
 def fit(
-    texts: list[str], labels: np.ndarray, totals: tuple[int, int] | None = None, seed: int = 4
+    texts: pa.Array | list[str],
+    labels: np.ndarray,
+    totals: tuple[int, int] | None = None,
+    seed: int = 4,
 ) -> Model:
     """Train on whole texts; two thirds learn, one third sets the scale.
 
     ``totals`` are the classes' sizes where the texts were drawn, so that the scale fits the
-    classes' true shares.
+    classes' true shares. Of one class only, or without any row, every text gets its label, or
+    0.
     """
     labels = np.asarray(labels, np.float64)
-    if labels.min(initial=1) == labels.max(initial=0):
+    if not isinstance(texts, pa.Array):
+        texts = pa.array(texts, pa.string())
+    if len(np.unique(labels)) < 2:
         certain = 30.0 if len(labels) and labels[0] == 1 else -30.0
         return Model(np.zeros(BUCKETS, np.float32), certain)
     rng = np.random.default_rng(seed)
     learns = rng.random(len(labels)) < 2 / 3
     if len(set(labels[learns])) < 2 or len(set(labels[~learns])) < 2:
         learns[:] = True
-    own = [text for text, keep in zip(texts, learns) if keep]
-    model = _train(own, labels[learns], rng)
+    model = _train(texts.filter(pa.array(learns)), labels[learns], rng)
     rest = ~learns if not learns.all() else learns
-    held = [text for text, keep in zip(texts, rest) if keep]
+    held = texts.filter(pa.array(rest))
     logits = np.concatenate(
-        [model.logits(pa.array(held[i : i + 64], pa.string())) for i in range(0, len(held), 64)]
+        [model.logits(held.slice(i, 64)) for i in range(0, len(held), 64)]
     )
     model.slope, model.shift = _scale(logits, labels[rest], totals)
     empty = model.slope * model.bias + model.shift
@@ -194,7 +199,7 @@ def _word_keys(bags: Bags) -> np.ndarray:
     return (sums[bags.ends] - sums[bags.starts]) * power[bags.starts]
 
 
-def _lexicon(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _lexicon(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Every word's number, each text's first word, and the grams of the distinct words.
 
     Texts are worked on a few at a time; the grams come as pairs (word number, bucket).
@@ -202,7 +207,7 @@ def _lexicon(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     keys, first, known = [], [np.zeros(1, np.int64)], np.zeros(0, np.uint64)
     owners, buckets = [], []
     for begin in range(0, len(texts), 32):
-        bags = words_of(pa.array(texts[begin : begin + 32], pa.string()))
+        bags = words_of(texts.slice(begin, 32))
         own = _word_keys(bags)
         keys.append(own)
         first.append(bags.first[1:] + first[-1][-1])
@@ -217,21 +222,21 @@ def _lexicon(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
             owners.append((owner + len(known)).astype(np.int32))
             buckets.append(grams[starts[owner] - 1 + place].astype(np.int32))
         known = np.concatenate([known, distinct])
-    order = np.argsort(known)
-    every = np.concatenate(keys) if keys else known
-    word = order[np.searchsorted(known, every, sorter=order)] if len(known) else every.astype(int)
+    order = np.argsort(known).astype(np.int32)
+    ranked = known[order]
+    word = np.concatenate([order[np.searchsorted(ranked, own)] for own in keys])
     return word, np.concatenate(first), np.concatenate(owners), np.concatenate(buckets)
 
 
-def _train(texts: list[str], labels: np.ndarray, rng: np.random.Generator) -> Model:
+def _train(texts: pa.Array, labels: np.ndarray, rng: np.random.Generator) -> Model:
     word, first, rows, buckets = _lexicon(texts)
     count = int(word.max(initial=-1)) + 1
     share = 1.0 / np.maximum(np.bincount(rows, minlength=count), 1)
 
     segments, bounds = _segments(first)
-    owner = np.repeat(np.arange(len(segments) - 1), np.diff(segments))
+    owner = np.repeat(np.arange(len(segments) - 1, dtype=np.int32), np.diff(segments))
     size = np.diff(segments)
-    text = np.repeat(np.arange(len(labels)), np.diff(bounds))
+    text = np.repeat(np.arange(len(labels), dtype=np.int32), np.diff(bounds))
     per_text = np.maximum(np.diff(bounds), 1)
     balance = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (1 - labels).sum())
     full = np.flatnonzero(np.diff(bounds))
@@ -259,10 +264,13 @@ def _train(texts: list[str], labels: np.ndarray, rng: np.random.Generator) -> Mo
         # Plain momentum, one step size for all buckets: what many texts agree on moves, what
         # single texts would like to memorise hardly does.
         step = RATE / np.abs(by_bucket).max()
-        speed[0] = 0.8 * speed[0] - step * np.outer(by_bucket, softmax) / np.abs(softmax).max()
+        speed[0] *= 0.8
+        for k, pull_of in enumerate(softmax / np.abs(softmax).max()):
+            speed[0][:, k] -= step * by_bucket * pull_of
         speed[1] = 0.8 * speed[1] - 0.02 * np.sign(by_bucket @ vectors)
         speed[2] = 0.8 * speed[2] - 0.2 * error.sum()
-        vectors, softmax, bias = vectors + speed[0], softmax + speed[1], bias + speed[2]
+        vectors += speed[0]
+        softmax, bias = softmax + speed[1], bias + speed[2]
     return Model((vectors @ softmax).astype(np.float32), float(bias))
 
 
@@ -277,7 +285,10 @@ def _known(labelled: DataFrame) -> DataFrame:
 
 
 def sample(documents: DataFrame, labelled: DataFrame, limit: int = SAMPLE) -> DataFrame:
-    """Texts and labels (text, label) of at most ``limit`` rows per class."""
+    """Texts and labels (text, label) of at most ``limit`` ids per class.
+
+    Of several rows of one id the text with the smallest hash is taken.
+    """
     known, chosen = _known(labelled), None
     for label in (0, 1):
         part = (
@@ -288,27 +299,39 @@ def sample(documents: DataFrame, labelled: DataFrame, limit: int = SAMPLE) -> Da
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # At most 2 * limit rows of two numbers are broadcast.
-    return texts.join(F.broadcast(chosen), "doc_id").select("text", "label")
+    return (
+        texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "label")
+        .agg(F.min(F.struct(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")).alias("one"))
+        .select("one.text", "label")
+    )
 
 
 def fit_on(documents: DataFrame, labelled: DataFrame, limit: int = SAMPLE) -> Model:
     """Fit on labelled rows (doc_id, label 0 or 1) of the documents."""
-    rows = sample(documents, labelled, limit).limit(2 * limit).toArrow()
+    rows = sample(documents, labelled, limit).toArrow().combine_chunks()
     counts = dict(_known(labelled).groupBy("label").count().collect())
-    labels = np.array(rows["label"].to_pylist(), np.float64)
-    texts = [text or "" for text in rows["text"].to_pylist()]
+    labels = rows["label"].to_numpy().astype(np.float64)
+    texts = rows["text"].combine_chunks().fill_null("")
+    if isinstance(texts, pa.ChunkedArray):
+        texts = pa.concat_arrays(texts.chunks)
     return fit(texts, labels, (counts.get(0, 0), counts.get(1, 0)))
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns plus ``score`` (0 to 1) of the whole text."""
+    """All columns plus ``score`` (0 to 1) of the whole text; a column of that name goes."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in slices(batches, "_text"):
-            found = model.probability(model.logits(batch.column("_text")))
-            yield batch.drop_columns(["_text"]).append_column("score", pa.array(found))
-
-    base = documents.withColumn("_text", F.col(text)).drop("score")
-    return base.mapInArrow(run, base.drop("_text").schema.add("score", "double"))
+        for batch in slices(batches, "text"):
+            found = model.probability(model.logits(batch.column("text")))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(found)], names=["row", "score"]
+            )
+
+    # the caller's columns travel in one struct, whatever their names
+    own = documents.drop("score")
+    packed = documents.select(F.struct(*[F.col(f"`{c}`") for c in own.columns]).alias("row"), F.col(text).alias("text"))
+    schema = packed.select("row").schema.add("score", "double")
+    return packed.mapInArrow(run, schema).select("row.*", "score")

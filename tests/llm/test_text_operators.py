@@ -27,6 +27,7 @@ from rookery.llm import (
 )
 
 tiktoken = pytest.importorskip("tiktoken")
+Tokenizer = pytest.importorskip("tokenizers").Tokenizer
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -341,6 +342,24 @@ def test_toxicity_without_both_classes(spark):
     rows = toxicity.score(documents, model).collect()
     assert len(rows) == len(AWKWARD) and all(r.score < 0.01 for r in rows)
     assert toxicity.score(empty(spark), model).collect() == []
+    nothing = toxicity.fit_on(empty(spark), labels)
+    assert all(r.score < 0.01 for r in toxicity.score(documents, nothing).collect())
+
+
+def test_toxicity_takes_one_text_per_labelled_id(spark):
+    """An id with very many rows does not push the others out of the sample."""
+    rows = [(1, f"copy {n}") for n in range(500)] + [(n, "fine words") for n in range(2, 12)]
+    labels = spark.createDataFrame([(n, int(n == 1)) for n in range(1, 12)], "doc_id LONG, label INT")
+    taken = toxicity.sample(frame(spark, rows), labels, 5).collect()
+    assert sorted(r.label for r in taken) == [0] * 5 + [1]
+
+
+def test_toxicity_keeps_columns_of_any_name(spark):
+    model = toxicity.fit(["a", "b"], np.array([0, 0]))
+    own = spark.createDataFrame([(1, "x", "y", "z")], "doc_id LONG, text STRING, _text STRING, row STRING")
+    scored = toxicity.score(own, model)
+    assert scored.columns == ["doc_id", "text", "_text", "row", "score"]
+    assert scored.first()[:4] == (1, "x", "y", "z")
 
 
 # --- mixing -----------------------------------------------------------------
@@ -436,13 +455,15 @@ def test_damage_is_found():
         rangecoder.decode_blocks(table, [blocks[0], bytes(broken), blocks[2]], len(ids))
 
 
-def test_token_files_of_awkward_rows(spark, reference_bpe):
+def test_token_files_of_awkward_rows(spark):
+    library = Tokenizer.from_file(JSON)
     files = rangecoder.write(frame(spark, AWKWARD), JSON)
     rows = rangecoder.read(files).orderBy("start").collect()
     order = sorted(AWKWARD, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     start = 0
     for row, (doc_id, text) in zip(rows, order, strict=True):
-        ids = [*reference_bpe.encode_ordinary(text or ""), 0]
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        assert (50256 in ids) == ("<|endoftext|>" in (text or ""))
         assert (row.doc_id, row.start) == (doc_id, start)
         assert zlib.crc32(row.ids) == zlib.crc32(np.array(ids, "<u4").tobytes())
         start += len(ids)

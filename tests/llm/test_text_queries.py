@@ -35,7 +35,7 @@ def result(spark, name):
 
 def test_all_operators_are_registered():
     numbers = {name.split("_")[0] for name in queries.QUERIES}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
