@@ -93,7 +93,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents", "doc_id", "text")
     labels = domain_labels(_read(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
     targets = {"good": 0.6, "plain": 0.3, "toxic": 0.1}
-    mixed = mixing.mix(documents, labels, targets)
+    mixed = mixing.mix(documents, labels, targets, kept=["doc_id"])
 
     def share(name: str) -> Column:
         at = F.array_position("domains", name)

@@ -386,6 +386,28 @@ def test_rates_meet_targets(spark):
         assert min(r.copies for r in mixed) >= least
 
 
+def test_rates_equal_brute_force_least_squares(spark):
+    """Projected gradient on the same cells in numpy, one rate a cell."""
+    posterior = np.array([[0.9, 0.1, 0.0], [0.2, 0.7, 0.1], [0.1, 0.1, 0.8], [0.4, 0.3, 0.3]])
+    tokens = np.array([500.0, 300.0, 150.0, 50.0])
+    domains = mixing.Domains(["a", "b", "c"], [0.0] * 3, [])
+    domains.posterior = lambda cell: F.get(
+        F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in posterior]), cell
+    )
+    cells = spark.createDataFrame([(k, int(t)) for k, t in enumerate(tokens)], "cell INT, tokens LONG")
+    for shares in ([0.5, 0.3, 0.2], [0.05, 0.05, 0.9]):  # the second is out of reach
+        goals = np.array(shares) * tokens.sum()
+        rate = np.ones(4)
+        for _ in range(200_000):
+            miss = (rate * tokens) @ posterior - goals
+            rate = np.maximum(0, rate - posterior @ miss / tokens.sum())
+        fitted = mixing.fit_rates(cells, domains, dict(zip("abc", shares))).collect()
+        got = np.array([r.rate for r in sorted(fitted, key=lambda r: r.cell)])
+        mine, best = (got * tokens) @ posterior, (rate * tokens) @ posterior
+        assert np.abs(mine - best).max() / tokens.sum() < 1e-3
+        assert abs(fitted[0].residual - np.abs(mine - goals).max() / tokens.sum()) < 1e-6
+
+
 def test_mixing_of_awkward_rows(spark):
     documents = frame(spark, AWKWARD)
     nothing = spark.createDataFrame([], "doc_id LONG, domain STRING")

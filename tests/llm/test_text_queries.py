@@ -108,6 +108,24 @@ def test_mixing_meets_its_targets(spark):
         assert abs(totals[name] / totals["all"] - share) < 0.005
 
 
+def test_posteriors_are_accurate_on_held_out_rows(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = queries.domain_labels(spark.read.parquet(f"{folder}/labels.parquet"))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    documents = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    names = ["good", "plain", "toxic"]
+    mixed = queries.mixing.mix(
+        documents, labels.filter(~held_out), dict.fromkeys(names, 1 / 3), kept=["doc_id"]
+    )
+    rows = mixed.filter(held_out).join(labels, "doc_id").select("posterior", "domain").collect()
+    for k, name in enumerate(names):
+        scores = np.array([r.posterior[k] for r in rows])
+        truth = np.array([r.domain == name for r in rows])
+        one, other = scores[truth][:, None], scores[~truth][None, :]
+        area = ((one > other) + 0.5 * (one == other)).mean()
+        assert area > 0.8, (name, area)
+
+
 def test_token_ids(spark, texts):
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
