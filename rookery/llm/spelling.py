@@ -11,9 +11,11 @@ Near words are found without comparing all words:
 2. Of the prefix, dynamic programming chooses two places that do not overlap and whose
    bigrams are rarest together: the pivots. One edit spoils one of them at most.
 3. Of two near words, the pivots of the one whose third bigram ranks first lie in the other's
-   prefix. So pivots are looked up among prefixes, with position limits: an edit moves a
-   place by the difference of the lengths or not at all. A lookup is an equality of bigram,
-   length and place, for each of the five ways in which an edit can act.
+   prefix. So pivots are looked up among prefixes, with position limits: an edit before the
+   bigram moves its place by the difference of the lengths, one behind it does not, and what
+   lies on the other side of the bigram is the same in both words. A lookup is an equality of
+   length, place and that side of the word, bigram included, for each of the six ways in which
+   an edit can act.
 4. Candidates are verified by their edit distance.
 
 Code points are below 256, so there are at most 65,536 bigrams, whose counts are gathered and
@@ -197,25 +199,39 @@ def near_pairs(words: DataFrame) -> DataFrame:
     ``words`` has each word once.
     """
     held = stage(prefixes(words), "grams")
-    index = held.select(F.col("word").alias("other"), F.col("length").alias("long"), "g", "p")
-    # replaced: same length and place; longer or shorter by one: place moved or not
-    ways = F.array(
-        *[
-            F.struct(F.lit(more).alias("more"), F.lit(moved).alias("moved"))
-            for more, moved in ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))
-        ]
+    # the one edit lies behind the bigram or before it: what the word has up to the bigram's
+    # end or from its start is in the other word, too
+    part = F.when(
+        F.col("way.side") == 0, F.substr("word", F.lit(1), F.col("p") + 2)
+    ).otherwise(F.substr("word", F.col("p") + 1, F.col("length")))
+
+    def ways(*each: tuple[int, int, int]) -> Column:
+        names = ("side", "more", "moved")
+        return F.explode(F.array(*[
+            F.struct(*[F.lit(value).alias(name) for name, value in zip(names, one)]) for one in each
+        ])).alias("way")
+
+    index = held.select("word", "length", "p", ways((0, 0, 0), (1, 0, 0))).select(
+        F.col("word").alias("other"), F.col("length").alias("long"), "p", "way.side",
+        part.alias("part"),
     )
+    # replaced: same length and place; longer or shorter by one: the place moves if the edit
+    # lies before it
     probes = (
         held.filter("pivot")
-        .withColumn("way", F.explode(ways))
+        .select(
+            "word", "length", "p",
+            ways((0, 0, 0), (1, 0, 0), (0, 1, 0), (0, -1, 0), (1, 1, 1), (1, -1, -1)),
+        )
         .select(
             "word",
             (F.col("length") + F.col("way.more")).alias("long"),
-            "g",
             (F.col("p") + F.col("way.moved")).alias("p"),
+            "way.side",
+            part.alias("part"),
         )
     )
-    met = probes.join(index, ["long", "g", "p"]).filter("word != other")
+    met = probes.join(index, ["long", "p", "side", "part"]).filter("word != other")
     return (
         met.filter(F.levenshtein("word", "other", 1) == 1)
         .select(F.least("word", "other").alias("left"), F.greatest("word", "other").alias("right"))
@@ -226,7 +242,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
 def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     """Words (word, n) with n_near, form, form_n and root."""
     words = stage(words, "words")
-    pairs = near_pairs(words.select("word"))
+    pairs = stage(near_pairs(words.select("word")), "near")
     both = pairs.unionByName(pairs.select(F.col("right").alias("left"), F.col("left").alias("right")))
     beside = both.join(words.select(F.col("word").alias("right"), F.col("n").alias("m")), "right")
     # the largest count, then the smallest word
