@@ -67,6 +67,7 @@ raw_games AS (
   WHERE copy = 0 OR k % 3 = 0
 )"""
 
+# Labels and codes of rating brackets, opening volumes and terminations.
 _BRACKET = """CASE WHEN {0} IS NULL THEN NULL WHEN {0} >= 2800 THEN '2800_plus'
   WHEN {0} >= 2600 THEN '2600_2799' WHEN {0} >= 2400 THEN '2400_2599'
   WHEN {0} >= 2200 THEN '2200_2399' WHEN {0} >= 2000 THEN '2000_2199' ELSE 'u2000' END"""

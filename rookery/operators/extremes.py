@@ -1,7 +1,9 @@
 """First and last values of a group, as ordinary aggregates.
 
-They replace a pair of opposite row numbers: no window, no extra sort of the
-whole group, and the partial aggregate runs before the shuffle.
+They replace a pair of opposite row numbers: no window, and the partial aggregate runs
+before the shuffle. The order is a struct, which a hash aggregate cannot update in place, so
+Spark plans a SortAggregate: rows are sorted by group within their task on either side of
+the shuffle.
 """
 
 from __future__ import annotations

@@ -1,4 +1,8 @@
-"""Explicit schemas of every table and message. Nothing is inferred."""
+"""Explicit schemas of every table and message. Nothing is inferred.
+
+Fixed values: column names, their order and their types are those of the data that is read
+and written.
+"""
 
 from __future__ import annotations
 
