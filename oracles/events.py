@@ -155,34 +155,40 @@ stats AS (
 # Which payload an event of the table became, and what is wrong with it.
 _KINDS = """
 kinds AS (
-  SELECT *, event_id % 20 AS kind, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso FROM events
+  SELECT *, event_id % 26 AS kind, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso FROM events
 ),
 verdicts AS (
   SELECT *, '{"event_id":"e' || event_id || '","event_ts":"' || iso || '+02:00","game_id":"'
       || user_id || '","event_type":' AS head,
     CASE kind
-      WHEN 0 THEN 'payload is not valid JSON'
-      WHEN 1 THEN 'event must be an object, got list'
-      WHEN 2 THEN 'missing required field(s): [''event_id'', ''event_ts'', ''game_id'']'
-      WHEN 3 THEN 'unknown event_type: ''teleport'''
-      WHEN 4 THEN 'unknown field(s): [''extra'', ''surprise'']'
-      WHEN 5 THEN 'move event missing ply'
-      WHEN 6 THEN 'invalid ply: 0'
-      WHEN 7 THEN 'invalid ply: ''1'''
-      WHEN 8 THEN 'invalid color: ''green'''
-      WHEN 9 THEN 'move event missing move_san'
-      WHEN 10 THEN 'invalid outcome: ''win'''
-      WHEN 11 THEN 'game_end missing termination'
-      WHEN 12 THEN 'bad event_ts: yesterday'
-      WHEN 13 THEN 'bad event_ts: 12'
-      WHEN 14 THEN 'event must be an object, got str' END AS error_message
+      WHEN 0 THEN ['not_json', 'not one JSON value']
+      WHEN 1 THEN ['not_an_object', 'top level: array']
+      WHEN 2 THEN ['field_missing',
+        'without value: event_id, event_ts, game_id, ply, move_number, color, move_san']
+      WHEN 3 THEN ['value_domain', 'not allowed: event_type = "teleport"']
+      WHEN 4 THEN ['field_unknown', 'outside the contract: extra, surprise']
+      WHEN 5 THEN ['field_missing', 'without value: ply']
+      WHEN 6 THEN ['value_domain', 'not allowed: ply = 0']
+      WHEN 7 THEN ['value_type', 'cannot be held: ply = "1"']
+      WHEN 8 THEN ['value_domain', 'not allowed: color = "green"']
+      WHEN 9 THEN ['field_missing', 'without value: move_san']
+      WHEN 10 THEN ['value_domain', 'not allowed: outcome = "win"']
+      WHEN 11 THEN ['field_missing', 'without value: termination']
+      WHEN 12 THEN ['time_unreadable', 'no ISO 8601 time: event_ts = "yesterday"']
+      WHEN 13 THEN ['value_type', 'cannot be held: event_ts = 12']
+      WHEN 14 THEN ['not_an_object', 'top level: string']
+      WHEN 20 THEN ['value_type', 'cannot be held: white_elo = "abc", black_elo = 1.5']
+      WHEN 21 THEN ['value_type', 'cannot be held: source_game_date = "nope"']
+      WHEN 22 THEN ['field_missing', 'without value: move_number, move_san; '
+        || 'cannot be held: is_simulated = "maybe"; outside the contract: odd; '
+        || 'not allowed: color = "green", ply = 0']
+      WHEN 23 THEN ['not_json', 'not one JSON value'] END AS verdict
   FROM kinds
 )"""
 
 _REJECTED = """
-SELECT CASE kind WHEN 0 THEN 'JSONDecodeError' WHEN 12 THEN 'ValueError' WHEN 13 THEN 'TypeError'
-                 ELSE 'EventValidationError' END AS error_type,
-  error_message, 'm' || event_id AS pubsub_message_id,
+SELECT verdict[1] AS error_type,
+  verdict[2] AS error_message, 'm' || event_id AS pubsub_message_id,
   '{"event_id":"m' || event_id || '","game_id":"' || user_id || '"}' AS attributes,
   CASE kind
     WHEN 0 THEN 'not json ' || event_id
@@ -203,27 +209,33 @@ SELECT CASE kind WHEN 0 THEN 'JSONDecodeError' WHEN 12 THEN 'ValueError' WHEN 13
                 || '","event_type":"game_start","event_ts":"yesterday","game_id":"' || user_id || '"}'
     WHEN 13 THEN '{"event_id":"' || event_id
                 || '","event_type":"game_start","event_ts":12,"game_id":"' || user_id || '"}'
-    ELSE '"' || event_id || '"' END AS payload
-FROM verdicts WHERE error_message IS NOT NULL"""
+    WHEN 14 THEN '"' || event_id || '"'
+    WHEN 20 THEN head || '"game_start","white_elo":"abc","black_elo":1.5}'
+    WHEN 21 THEN head || '"game_start","source_game_date":"nope"}'
+    WHEN 22 THEN head || '"move","ply":0,"color":"green","is_simulated":"maybe","odd":[1]}'
+    ELSE '{"event_id":"e' || event_id || '","event_type":"game_start","event_ts":"' || iso
+                || '+02:00","game_id":"' || user_id || '"} {}' END AS payload
+FROM verdicts WHERE verdict IS NOT NULL"""
 
 _ACCEPTED = """
 SELECT 'e' || event_id AS event_id,
-  CASE kind WHEN 15 THEN 'game_end' WHEN 16 THEN 'game_start' ELSE 'move' END AS event_type,
-  ts - INTERVAL 2 HOUR AS event_ts, user_id::VARCHAR AS game_id, NULL::VARCHAR AS game_url,
+  CASE WHEN kind = 15 THEN 'game_end' WHEN kind IN (16, 24, 25) THEN 'game_start' ELSE 'move' END
+    AS event_type,
+  CASE kind WHEN 25 THEN date_trunc('hour', ts) ELSE ts END - INTERVAL 2 HOUR AS event_ts, user_id::VARCHAR AS game_id, NULL::VARCHAR AS game_url,
   NULL::VARCHAR AS player_white, NULL::VARCHAR AS player_black,
   CASE kind WHEN 16 THEN user_id END AS white_elo, NULL::BIGINT AS black_elo,
   NULL::VARCHAR AS time_class, NULL::VARCHAR AS time_control_raw, NULL::VARCHAR AS eco_code,
   NULL::VARCHAR AS opening_name,
-  CASE WHEN kind > 16 THEN user_id + 1 END AS ply,
-  CASE WHEN kind > 16 THEN user_id // 2 + 1 END AS move_number,
-  CASE WHEN kind > 16 THEN 'black' END AS color, CASE WHEN kind > 16 THEN 'e5' END AS move_san,
-  CASE WHEN kind > 16 THEN value END AS mover_clock_sec,
+  CASE WHEN kind IN (17, 18, 19) THEN user_id + 1 END AS ply,
+  CASE WHEN kind IN (17, 18, 19) THEN user_id // 2 + 1 END AS move_number,
+  CASE WHEN kind IN (17, 18, 19) THEN 'black' END AS color, CASE WHEN kind IN (17, 18, 19) THEN 'e5' END AS move_san,
+  CASE WHEN kind IN (17, 18, 19) THEN value END AS mover_clock_sec,
   NULL::DOUBLE AS white_clock_sec, NULL::DOUBLE AS black_clock_sec,
   CASE kind WHEN 15 THEN '0-1' END AS outcome, NULL::VARCHAR AS winner_color,
   CASE kind WHEN 15 THEN 'resignation' END AS termination, NULL::BIGINT AS total_moves,
   NULL::VARCHAR AS final_fen, NULL::BOOLEAN AS is_simulated, NULL::DATE AS source_game_date,
   NULL::VARCHAR AS producer_version
-FROM verdicts WHERE error_message IS NULL"""
+FROM verdicts WHERE verdict IS NULL"""
 
 # Late: below the highest time of earlier batches less two minutes.
 _ENTERED = f"""

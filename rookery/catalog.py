@@ -209,8 +209,8 @@ def feed_throughput(spark, sf_dir):
     return windows.platform_stats(_unique_event_log(spark, sf_dir))
 
 
-# One event in twenty of the table becomes each of these payloads.
-_PAYLOADS = """CASE event_id % 20
+# One event in 26 of the table becomes each of these payloads.
+_PAYLOADS = """CASE event_id % 26
     WHEN 0 THEN concat('not json ', event_id)
     WHEN 1 THEN concat('[', event_id, ']')
     WHEN 2 THEN '{"event_type": "move"}'
@@ -232,10 +232,23 @@ _PAYLOADS = """CASE event_id % 20
     WHEN 14 THEN concat('"', event_id, '"')
     WHEN 15 THEN concat(head, '"game_end","outcome":"0-1","termination":"resignation"}')
     WHEN 16 THEN concat(head, '"game_start","white_elo":', user_id, '}')
+    WHEN 20 THEN concat(head, '"game_start","white_elo":"abc","black_elo":1.5}')
+    WHEN 21 THEN concat(head, '"game_start","source_game_date":"nope"}')
+    WHEN 22 THEN concat(head, '"move","ply":0,"color":"green","is_simulated":"maybe","odd":[1]}')
+    WHEN 23 THEN concat('{"event_id":"e', event_id, '","event_type":"game_start","event_ts":"', ts,
+                        '+02:00","game_id":"', user_id, '"} {}')
+    WHEN 24 THEN concat('{"event_id":"e', event_id, '","event_type":"game_start","event_ts":"',
+                        replace(translate(ts, '-:', ''), '.', ','), '789+0200","game_id":"',
+                        user_id, '"}')
+    WHEN 25 THEN concat('{"event_id":"e', event_id, '","event_type":"game_start","event_ts":"',
+                        left(ts, 13), '+02","game_id":"', user_id, '"}')
     ELSE concat(head, '"move","ply":', user_id + 1, ',"move_number":', user_id div 2 + 1,
                 ',"color":"black","move_san":"e5","mover_clock_sec":', value, '}') END"""
 
 
+_VALID = [15, 16, 17, 18, 19, 24, 25]
+
+
 def _messages(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
         "ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -307,7 +320,7 @@ def _entered(spark, sf_dir):
     for batch in range(_BATCHES):
         part = messages.filter(F.col("n") % _BATCHES == batch)
         again = messages.filter(
-            (F.col("n") % _BATCHES == batch - 1) & (F.col("n") % 20 > 14)
+            (F.col("n") % _BATCHES == batch - 1) & (F.col("n") % 26).isin(_VALID)
         )
         arriving = part.unionByName(again).select("data", "attributes").coalesce(1)
         arriving.write.mode("append").parquet(f"{root}/incoming")
