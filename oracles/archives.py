@@ -359,7 +359,40 @@ FROM (
       FROM results JOIN players USING (username) WHERE rated AND elo IS NOT NULL))
 )"""
 
+_TASKS = """(VALUES ('clean_games', 'silver', 1), ('player_game_results', 'silver', 1),
+  ('openings_dim', 'silver', 1), ('dim_players', 'silver', 1), ('dq_results', 'dq', 1),
+  ('dq_gate', 'dq', 2), ('daily_player_kpis', 'gold', 3), ('opening_win_rates', 'gold', 3),
+  ('elo_trend_weekly', 'gold', 3), ('time_control_meta', 'gold', 3), ('player_cohorts', 'gold', 3))
+  AS tasks (name, layer, stage)"""
+
+
+def _gated(run_id: str) -> str:
+    """Tasks of a run by what its checks found, and the checks that failed."""
+    return f"""
+SELECT '{run_id}' AS run_id, name, layer,
+  CASE WHEN stage = 1 OR NOT EXISTS (SELECT 1 FROM blocking) THEN 'success'
+       WHEN stage = 2 THEN 'failed' ELSE 'skipped' END AS status,
+  NULL::INTEGER AS place, NULL::BIGINT AS failed_rows
+FROM {_TASKS}
+UNION ALL
+SELECT '{run_id}', check_name, 'check', 'failed', place, failed_rows FROM blocking"""
+
+
+def _blocking(source: str, as_of: str) -> str:
+    return f"""blocking AS (
+  SELECT check_name, failed_rows, row_number() OVER (
+      ORDER BY round(failed_rows / total_rows::DOUBLE * 100, 4) DESC, check_name)::INTEGER AS place
+  FROM ({_checks(source).replace("1995-09-01", as_of)})
+  WHERE severity = 'error' AND failed_rows / nullif(total_rows, 0)::DOUBLE * 100 > threshold_pct
+)"""
+
+
 ARCHIVES = {
+    "gated_runs": f"""WITH {GAMES},
+sound AS (SELECT * FROM games WHERE player_white <> player_black AND total_moves > 0)
+SELECT * FROM (WITH {_blocking("games", "1995-09-01")} {_gated("as-landed")})
+UNION ALL
+SELECT * FROM (WITH {_blocking("sound", "1995-12-31")} {_gated("sound-only")})""",
     "clean_games": f"WITH {GAMES} SELECT * FROM games",
     "landed_games_window": "WITH "
     + clean_ctes(

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import TimestampType
 
 from rookery import schemas
 from rookery.functions import derive
-from rookery.operators import tables
+from rookery.operators import checks, tables
 from rookery.operators.latest import latest_per_key
 from rookery.plans import events as plays, gold, quality, reports, run, silver
 from rookery.session import scratch_path, tune
@@ -109,13 +110,10 @@ def landed_games_window(spark, sf_dir):
     return silver.clean_games(bronze.raw_games(spark, path), *window)
 
 
-def run_log(spark, sf_dir):
-    """A whole layered run over landed data; its log."""
+def _landed_lake(spark, sf_dir, games):
     root = scratch_path(spark, "lake")
     lake = run.Lake(landing=f"{root}/raw", tables=f"{root}/tables")
-    landing.land_units(
-        archives.raw_games(spark, sf_dir), f"{lake.landing}/games", ["year", "month"]
-    )
+    landing.land_units(games, f"{lake.landing}/games", ["year", "month"])
     documents = {
         "players/profiles": archives.raw_profiles(spark, sf_dir),
         "players/stats": archives.raw_stats(spark, sf_dir),
@@ -123,6 +121,12 @@ def run_log(spark, sf_dir):
     }
     for name, df in documents.items():
         landing.land_units(df, f"{lake.landing}/{name}", [])
+    return lake
+
+
+def run_log(spark, sf_dir):
+    """A whole layered run over landed data; its log."""
+    lake = _landed_lake(spark, sf_dir, archives.raw_games(spark, sf_dir))
     run_id = run.run_window(
         spark, lake, FIRST_DAY, LAST_DAY, ["silver", "gold"], as_of=AS_OF, run_id="logged-run"
     )
@@ -133,6 +137,48 @@ def run_log(spark, sf_dir):
     )
 
 
+def gated_runs(spark, sf_dir):
+    """Runs with the gate before the marts: all games as they are, and only sound ones.
+
+    Every task with its status, and the blocking checks that failed, worst first.
+    """
+    raw = archives.raw_games(spark, sf_dir)
+    white, black = F.lower("white.username"), F.lower("black.username")
+    moves = derive.full_moves(derive.movetext(F.col("pgn")))
+    inputs = {
+        "as-landed": (raw, AS_OF),
+        "sound-only": (raw.filter((white != black) & (moves > 0)), LAST_DAY),
+    }
+    parts = []
+    for run_id, (games, as_of) in inputs.items():
+        lake = _landed_lake(spark, sf_dir, games)
+        try:
+            run.run_window(
+                spark, lake, FIRST_DAY, LAST_DAY, as_of=as_of, run_id=run_id, gate_first=True
+            )
+        except checks.ChecksFailed:
+            pass  # what the log and the results tell is the result here
+        log = tables.read_table(spark, lake.table("ops/pipeline_runs"), schemas.RUN_LOG)
+        results = tables.read_table(spark, lake.table("ops/dq_results"), schemas.DQ_RESULTS)
+        none = F.lit(None)
+        parts += [
+            log.select(
+                "run_id", F.col("task_id").alias("name"), "layer", "status",
+                none.cast("int").alias("place"), none.cast("bigint").alias("failed_rows"),
+            ),
+            # One row per declared check.
+            checks.failing(results).select(
+                F.lit(run_id).alias("run_id"), F.col("check_name").alias("name"),
+                F.lit("check").alias("layer"), F.lit("failed").alias("status"),
+                F.row_number().over(
+                    Window.orderBy(F.desc("failed_pct"), "check_name")
+                ).alias("place"),
+                "failed_rows",
+            ),
+        ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 # --- moves, event log, messages -----------------------------------------------
 
 
@@ -390,6 +436,7 @@ _BUILDERS: list[Query] = [
     dq_results,
     landed_games_window,
     run_log,
+    gated_runs,
     header_tags,
     game_moves,
     game_event_log,

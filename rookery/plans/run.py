@@ -1,7 +1,8 @@
 """One run of the layered models over a date window.
 
 Each model is written, logged and read back by the ones that need it. A failed
-model is logged too and stops the run.
+model or gate is logged too and stops the run; what it kept from running is logged
+as skipped.
 """
 
 from __future__ import annotations
@@ -128,6 +129,14 @@ class _Run:
         )
         return tables.append(measured, self.lake.table("ops/dq_results"))
 
+    def dq_gate(self) -> int:
+        """Raise if a blocking check of this run failed."""
+        results = tables.read_table(
+            self.spark, self.lake.table("ops/dq_results"), schemas.DQ_RESULTS
+        )
+        checks.gate(results.filter(results.run_id == self.run_id))
+        return 0
+
 
 # Layer and model, in dependency order.
 MODELS = [
@@ -141,9 +150,34 @@ MODELS = [
     ("gold", "time_control_meta"),
     ("gold", "player_cohorts"),
     ("dq", "dq_results"),
+    ("dq", "dq_gate"),
 ]
 
 
+def _steps(layers: Iterable[str], gate_first: bool) -> list[tuple[str, str]]:
+    order = ("silver", "dq", "gold") if gate_first else LAYERS
+    chosen = set(layers)
+    return [step for layer in order if layer in chosen for step in MODELS if step[0] == layer]
+
+
+def _log(run: _Run, entries: list[dict]) -> None:
+    rows = []
+    for entry in entries:
+        name, layer = entry["task_id"], entry["layer"]
+        entry = {
+            "run_id": run.run_id,
+            "dag_id": FLOW,
+            "target_table": f"{layer}.{name}" if layer != "dq" else "ops.dq_results",
+            "window_start": run.start,
+            "window_end": run.end,
+            "logged_at": dt.datetime.now(dt.timezone.utc),
+            **entry,
+        }
+        rows.append(tuple(entry.get(column) for column in schemas.RUN_LOG.fieldNames()))
+    log = run.spark.createDataFrame(rows, schemas.RUN_LOG)
+    tables.append(log.coalesce(1), run.lake.table("ops/pipeline_runs"))
+
+
 def _logged(run: _Run, layer: str, name: str, model: Callable[[], int]) -> None:
     """Run one model and append its row to the run log, also when it fails."""
     started, clock = dt.datetime.now(dt.timezone.utc), time.monotonic()
@@ -154,24 +188,16 @@ def _logged(run: _Run, layer: str, name: str, model: Callable[[], int]) -> None:
         error = failure
     finished = dt.datetime.now(dt.timezone.utc)
     entry = {
-        "run_id": run.run_id,
-        "dag_id": FLOW,
         "task_id": name,
         "layer": layer,
-        "target_table": f"{layer}.{name}" if layer != "dq" else f"ops.{name}",
         "status": "failed" if error else "success",
-        "window_start": run.start,
-        "window_end": run.end,
         "rows_written": rows,
         "duration_sec": time.monotonic() - clock,
         "error_message": str(error) if error else None,
         "started_at": started,
         "finished_at": finished,
-        "logged_at": finished,
     }
-    row = tuple(entry.get(column) for column in schemas.RUN_LOG.fieldNames())
-    log = run.spark.createDataFrame([row], schemas.RUN_LOG)
-    tables.append(log.coalesce(1), run.lake.table("ops/pipeline_runs"))
+    _log(run, [entry])
     if error:
         raise error
 
@@ -186,29 +212,40 @@ def run_window(
     run_id: str | None = None,
     slack_months: int = 1,
     dry_run: bool = False,
+    gate_first: bool = False,
 ) -> str:
     """Run the models of ``layers`` for an inclusive window; returns the run id.
 
-    With the checks among the layers the run ends at the gate, which raises if
-    a blocking check failed. ``dry_run`` only says what would run.
+    With the checks among the layers the run passes a gate, which raises if a
+    blocking check failed: at its end or, with ``gate_first``, before the marts,
+    so that those are only built from games that passed. ``dry_run`` only says
+    what would run.
     """
     if start > end:
         raise ValueError("start must not be after end")
-    chosen = set(layers)
-    unknown = chosen - set(LAYERS)
+    layers = list(layers)
+    unknown = set(layers) - set(LAYERS)
     if unknown:
         raise ValueError(f"unknown layers: {sorted(unknown)}")
     run_id = run_id or f"manual-{uuid.uuid4().hex[:12]}"
-    steps = [(layer, name) for layer, name in MODELS if layer in chosen]
+    steps = _steps(layers, gate_first)
     if dry_run:
         for layer, name in steps:
             print(f"[{layer}] {name} {start}..{end}")
         return run_id
 
     run = _Run(spark, lake, start, end, as_of or dt.date.today(), slack_months, run_id)
-    for layer, name in steps:
-        _logged(run, layer, name, getattr(run, name))
-    if "dq" in chosen:
-        results = spark.read.schema(schemas.DQ_RESULTS).parquet(lake.table("ops/dq_results"))
-        checks.gate(results.filter(results.run_id == run_id))
+    for done, (layer, name) in enumerate(steps, 1):
+        try:
+            _logged(run, layer, name, getattr(run, name))
+        except Exception:
+            if steps[done:]:
+                _log(
+                    run,
+                    [
+                        {"task_id": later, "layer": of, "status": "skipped"}
+                        for of, later in steps[done:]
+                    ],
+                )
+            raise
     return run_id

@@ -205,7 +205,7 @@ def test_run_twice_gives_the_same_tables(spark, lake):
     assert read("gold/player_cohorts").count() == 2
     assert read("ops/dq_results").groupBy("run_id").count().count() == 2
     log = tables.read_table(spark, lake.table("ops/pipeline_runs"), schemas.RUN_LOG)
-    assert log.count() == 20 and log.filter("status = 'success'").count() == 20
+    assert log.count() == 22 and log.filter("status = 'success'").count() == 22
     assert one(log.filter("run_id = 'r2' AND task_id = 'clean_games'")).rows_written == 3
     assert spark.table("player_game_results").count() == 6
 
@@ -222,10 +222,34 @@ def test_run_stops_at_the_gate_and_at_failures(spark, lake, raw):
     with pytest.raises(Exception):
         run.run_window(spark, missing, *window, layers=["silver"], run_id="broken")
     log = tables.read_table(spark, lake.table("ops/pipeline_runs"), schemas.RUN_LOG)
-    row = one(log.filter("run_id = 'broken'"))
+    stopped = log.filter("run_id = 'broken'")
+    assert stopped.filter("status = 'skipped'").count() == 3
+    row = one(stopped.filter("status <> 'skipped'"))
     assert (row.task_id, row.status) == ("clean_games", "failed") and row.error_message
 
 
+def test_a_gate_before_the_marts_keeps_them_as_they_were(spark, lake, raw):
+    window = (D(2026, 8, 1), D(2026, 8, 31))
+    options = {"as_of": D(2026, 9, 1), "layers": ["gold", "silver", "dq"], "gate_first": True}
+    landing.land_games(raw().withColumn("player", F.lit("p")), f"{lake.landing}/games")
+    run.run_window(spark, lake, *window, run_id="good", **options)
+    kpis = lake.table("gold/daily_player_kpis")
+    before = spark.read.parquet(kpis).count()
+    bad = raw([game(5, black=side("Anna", 2000, "resigned"))]).withColumn("player", F.lit("bad"))
+    landing.land_games(bad, f"{lake.landing}/games")
+    with pytest.raises(checks.ChecksFailed, match="no_self_play"):
+        run.run_window(spark, lake, *window, run_id="bad", **options)
+    assert spark.read.parquet(kpis).count() == before > 0
+    log = tables.read_table(spark, lake.table("ops/pipeline_runs"), schemas.RUN_LOG)
+    found = {
+        r.run_id: r.by_status
+        for r in log.groupBy("run_id", "status").count().groupBy("run_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("status", "count"))).alias("by_status"))
+        .collect()
+    }
+    assert found == {"good": {"success": 11}, "bad": {"success": 5, "failed": 1, "skipped": 5}}
+
+
 def test_run_arguments(spark, lake):
     with pytest.raises(ValueError):
         run.run_window(spark, lake, D(2026, 8, 2), D(2026, 8, 1))
