@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -273,3 +274,18 @@ def test_a_failed_swap_puts_the_old_table_back(spark, folder, monkeypatch):
     with pytest.raises(OSError):
         tables.rebuild(spark.range(5), path)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_refresh_shows_files_written_by_another_job(spark, folder):
+    path = f"{folder}/grown"
+    spark.range(3).write.parquet(path)
+    seen = spark.read.parquet(path).cache()
+    assert seen.count() == 3
+    os.makedirs(f"{folder}/other")
+    spark.range(4).write.parquet(f"{folder}/other/part")
+    for name in os.listdir(f"{folder}/other/part"):
+        if name.startswith("part-"):  # behind the session's back
+            shutil.copy(f"{folder}/other/part/{name}", f"{path}/{name}")
+    bronze.refresh(spark, path)
+    assert seen.count() == spark.read.parquet(path).count() == 7
+    seen.unpersist()
