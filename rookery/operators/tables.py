@@ -30,12 +30,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(location)
 
 
-def partition_dates(spark: SparkSession, path: str, column: str) -> list[dt.date]:
-    """Dates of the table's first partition level, from its folder names."""
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it is not there."""
     files, location, _ = _filesystem(spark, path)
     if not files.exists(location):
         return []
-    names = [status.getPath().getName() for status in files.listStatus(location)]
+    return [status.getPath().getName() for status in files.listStatus(location)]
+
+
+def partition_dates(spark: SparkSession, path: str, column: str) -> list[dt.date]:
+    """Dates of the table's first partition level, from its folder names."""
+    names = folder_names(spark, path)
     found = [re.fullmatch(rf"{column}=(\d{{4}}-\d{{2}}-\d{{2}})", name) for name in names]
     return sorted(dt.date.fromisoformat(match.group(1)) for match in found if match)
 
@@ -85,6 +90,11 @@ def _remove(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
+def remove_folders(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        _remove(spark, path)
+
+
 def _rename(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder; file systems say by their result, not an error, that they did not."""
     files, location, make_path = _filesystem(spark, source)
@@ -92,6 +102,13 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} could not be renamed to {target}")
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to a path that is not there yet, making its parents."""
+    files, location, _ = _filesystem(spark, target)
+    files.mkdirs(location.getParent())
+    _rename(spark, source, target)
+
+
 # --- writing ----------------------------------------------------------------
 
 
