@@ -485,6 +485,36 @@ FROM (
   WHERE line <> ''
 )
 GROUP BY tag, value""",
+    "landed_units": f"""WITH {RAW_GAMES},
+units AS (
+  SELECT *, 'account' || (CAST(substr(white_name, 7) AS BIGINT) % 40) AS player FROM raw_games
+),
+landed AS (
+  SELECT *, month = 3 AND bool_or(coalesce(rated, FALSE)) OVER (PARTITION BY player, year, month)
+    AS is_replaced
+  FROM units
+)
+SELECT player, year, month, count(*) AS games, count(*) FILTER (WHERE rated) AS rated_games,
+  count(*) AS stamped, 1::BIGINT AS endpoints,
+  'player/' || player || '/games/' || year || '/' || month AS endpoint,
+  min(end_time) AS first_end, max(end_time) AS last_end
+FROM landed WHERE NOT is_replaced OR rated GROUP BY player, year, month""",
+    "landed_player_stats": """SELECT 'player' || c_custkey AS username,
+  CASE WHEN c_custkey % 3 = 0 THEN 1800 + c_custkey % 900 END AS fide,
+  'player/player' || c_custkey || '/stats' AS _source_endpoint, TRUE AS stamped
+FROM customer, range(2) AS copies(copy)
+WHERE c_custkey % 7 <> 5 AND (c_custkey % 9 = 0 OR c_custkey % 10 = 0)
+  AND (copy = 0 OR c_custkey % 4 = 2)""",
+    "landed_broken_lines": f"""WITH {RAW_GAMES},
+lines AS (SELECT *, CAST(substr(uuid, 3) AS BIGINT) % 11 AS n FROM raw_games),
+told AS (
+  SELECT *, CASE n WHEN 0 THEN '{{"url":"https:/' WHEN 1 THEN 'no json ' || uuid END AS text,
+    CASE WHEN n < 2 THEN 'unreadable' WHEN n = 2 THEN 'badly typed' ELSE 'sound' END AS state
+  FROM lines
+)
+SELECT year, month, state, count(*) AS lines, count(*) FILTER (WHERE n >= 2) AS identified,
+  count(end_time) FILTER (WHERE n > 2) AS timed, min(text) AS first_text, max(text) AS last_text
+FROM told GROUP BY year, month, state""",
     "landing_summary": f"""WITH {RAW_GAMES}
 SELECT count(DISTINCT lower(white_name)) AS players,
   count(DISTINCT (lower(white_name), year, month)) AS partitions, count(*) AS games

@@ -278,6 +278,21 @@ FROM feed GROUP BY event_type, time_class, color""",
     "feed_throughput": f"WITH {UNIQUE},{_THROUGHPUT} SELECT * FROM stats",
     "streamed_game_sessions": f"WITH {UNIQUE},{_SESSIONS} SELECT * FROM stats",
     "streamed_throughput": f"WITH {UNIQUE},{_THROUGHPUT} SELECT * FROM stats",
+    "rerun_throughput": f"WITH {UNIQUE},{_THROUGHPUT} SELECT * FROM stats",
+    "ndjson_feed": f"WITH {UNIQUE} SELECT * FROM feed",
+    "kept_event_days": f"""WITH {UNIQUE},
+later AS (
+  SELECT game_id, CAST(event_ts + to_days(CAST(game_id::BIGINT % 60 AS INTEGER)) AS DATE) AS day
+  FROM feed
+)
+SELECT day, count(*) AS events, count(DISTINCT game_id) AS games
+FROM later WHERE day >= DATE '2026-10-02' GROUP BY day""",
+    "ordered_replay": f"""WITH {UNIQUE}
+SELECT game_id, count(*) AS messages, 0::BIGINT AS disordered, min(event_ts) AS first_ts,
+  max(event_ts) AS last_ts
+FROM feed GROUP BY game_id
+UNION ALL
+SELECT NULL, count(*), 0, min(event_ts), max(event_ts) FROM feed""",
     "rejected_messages": f"WITH {_KINDS} {_REJECTED}",
     "entered_events": f"WITH {_KINDS},{_ENTERED} SELECT * EXCLUDE (batch) FROM marked",
     "entered_late_events": f"""WITH {_KINDS},{_ENTERED}

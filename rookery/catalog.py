@@ -16,7 +16,7 @@ from rookery.operators.latest import latest_per_key
 from rookery.plans import events as plays, gold, quality, reports, run, silver
 from rookery.session import scratch_path, tune
 from rookery.sources import bronze, feed, landing, tables_as_archives as archives
-from rookery.streaming import contract, jobs, windows
+from rookery.streaming import contract, jobs, published, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -247,6 +247,31 @@ def feed_roundtrip(spark, sf_dir):
     )
 
 
+def ndjson_feed(spark, sf_dir):
+    """The event log as JSON lines, read back."""
+    path = scratch_path(spark, "ndjson")
+    feed.write_ndjson(_unique_event_log(spark, sf_dir), path)
+    return spark.read.schema(schemas.EVENT).json(path)
+
+
+def ordered_replay(spark, sf_dir):
+    """Replay files, read back with each message's place, and what is out of order there.
+
+    One row per game, whose messages have to come in the order of their times, and one for the
+    whole feed, where no file may begin before the one before it has ended.
+    """
+    path = scratch_path(spark, "replay")
+    feed.write_replay(_unique_event_log(spark, sf_dir), path)
+    time = F.get_json_object(F.col("data").cast("string"), "$.event_ts").cast("timestamp")
+    messages = spark.read.parquet(path).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+        "key",
+        time.alias("event_ts"),
+    )
+    return feed.order_by_game(messages).unionByName(feed.order_of_files(messages))
+
+
 def game_sessions(spark, sf_dir):
     return windows.session_stats(_unique_event_log(spark, sf_dir))
 
@@ -324,17 +349,15 @@ def accepted_messages(spark, sf_dir):
 # --- streams ------------------------------------------------------------------
 
 
+def _accepted(events):
+    return events.withColumns({"received_at": F.col("event_ts"), "is_late": F.lit(False)})
+
+
 def _streamed(spark, sf_dir, start):
-    """Write the event log as the accepted-events table, run one window query to its end."""
+    """Publish the event log as one batch of the events table, run one window query to its end."""
     layout = jobs.Layout(scratch_path(spark, "stream"))
-    accepted = _unique_event_log(spark, sf_dir).withColumns(
-        {
-            "received_at": F.col("event_ts"),
-            "is_late": F.lit(False),
-            "event_date": F.to_date("event_ts"),
-        }
-    )
-    accepted.write.partitionBy("event_date").parquet(layout.table("live_game_events"))
+    accepted = _accepted(_unique_event_log(spark, sf_dir))
+    published.publish(accepted, layout.table("live_game_events"), 0, "event_ts")
     start(spark, layout, availableNow=True).awaitTermination()
     jobs.close_windows(spark, layout)
     return layout
@@ -350,6 +373,46 @@ def streamed_throughput(spark, sf_dir):
     return jobs.platform_stats(spark, _streamed(spark, sf_dir, jobs.start_platform_stats))
 
 
+def rerun_throughput(spark, sf_dir):
+    """Fixed windows over a feed whose batches run again after the windows have read them.
+
+    The log comes as messages in two batches; small batches are settled before the feed ends.
+    """
+    layout = jobs.Layout(scratch_path(spark, "rerun"))
+    log = tables.stage(_unique_event_log(spark, sf_dir), "log")
+    half = F.timestamp_seconds(F.lit(REPLAY_START + 1000))
+    entry = jobs.entry_batch(layout)
+    for batch, part in enumerate([log.filter(F.col("event_ts") < half),
+                                  log.filter(F.col("event_ts") >= half)]):
+        read = contract.read_messages(feed.to_messages(part))
+        for _ in range(2):
+            entry(read.withColumn("received_at", F.current_timestamp()), batch)
+            jobs.start_platform_stats(spark, layout, availableNow=True).awaitTermination()
+    jobs.settle(spark, layout, 0)
+    jobs.close_windows(spark, layout)
+    return jobs.platform_stats(spark, layout)
+
+
+_EXPIRY_DAY = dt.date(2026, 11, 1)
+
+
+def kept_event_days(spark, sf_dir):
+    """Days of an events table, spread over two months, after old ones have expired."""
+    layout = jobs.Layout(scratch_path(spark, "expiry"))
+    path = layout.table("live_game_events")
+    later = F.make_dt_interval(days=(F.col("game_id").cast("bigint") % 60).cast("int"))
+    log = tables.stage(_unique_event_log(spark, sf_dir), "log")
+    log = _accepted(log.withColumn("event_ts", F.col("event_ts") + later))
+    odd = F.col("game_id").cast("bigint") % 2 == 1
+    for batch, part in enumerate([log.filter(odd), log.filter(~odd)]):
+        published.publish(part, path, batch, "event_ts")
+    published.settle(spark, path, schemas.ACCEPTED, 0)
+    jobs.expire(spark, layout, _EXPIRY_DAY, keep_days=30)
+    return jobs.marked_events(spark, layout).groupBy(F.to_date("event_ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("game_id").alias("games")
+    )
+
+
 _BATCHES = 4
 
 
@@ -360,6 +423,7 @@ def _entered(spark, sf_dir):
     the quarter before it.
     """
     root = scratch_path(spark, "entry")
+    layout = jobs.Layout(f"{root}/tables")
     messages = _messages(spark, sf_dir).withColumn(
         "n", F.substr(F.col("attributes")["event_id"], F.lit(2)).cast("bigint")
     )
@@ -368,20 +432,17 @@ def _entered(spark, sf_dir):
         again = messages.filter(
             (F.col("n") % _BATCHES == batch - 1) & (F.col("n") % 26).isin(_VALID)
         )
-        arriving = part.unionByName(again).select("data", "attributes").coalesce(1)
+        arriving = part.unionByName(again).select("data", "attributes")
         arriving.write.mode("append").parquet(f"{root}/incoming")
-    layout = jobs.Layout(f"{root}/tables")
-    source = jobs.message_files(spark, f"{root}/incoming", maxFilesPerTrigger="1")
-    jobs.start_entry(source, layout, availableNow=True).awaitTermination()
+        source = jobs.message_files(spark, f"{root}/incoming")
+        jobs.start_entry(source, layout, availableNow=True).awaitTermination()
     return layout
 
 
 def entered_events(spark, sf_dir):
     """Events of a feed with redeliveries, each once, and whether they came late."""
     layout = _entered(spark, sf_dir)
-    return spark.read.parquet(layout.table("live_game_events")).select(
-        *schemas.EVENT.fieldNames(), "is_late"
-    )
+    return jobs.marked_events(spark, layout).select(*schemas.EVENT.fieldNames(), "is_late")
 
 
 def entered_late_events(spark, sf_dir):
@@ -401,6 +462,76 @@ def _landed(spark, sf_dir):
     return archives.raw_games(spark, sf_dir).withColumn("player", F.lower("white.username"))
 
 
+_ACCOUNTS = 40
+
+
+def landed_units(spark, sf_dir):
+    """Archives of forty accounts, landed one folder per year, month and account.
+
+    The March units come a second time, with rated games only, and replace themselves alone.
+    """
+    path = scratch_path(spark, "units")
+    account = F.regexp_extract(F.lower("white.username"), r"(\d+)\z", 1).cast("bigint") % _ACCOUNTS
+    player = F.concat(F.lit("account"), account.cast("string"))
+    endpoint = F.concat_ws("/", F.lit("player"), "player", F.lit("games"), "year", "month")
+    fetched = archives.raw_games(spark, sf_dir).drop("_ingested_at", "_source_endpoint")
+    stamped = landing.stamp_lineage(fetched.withColumn("player", player), endpoint)
+    landing.land_games(stamped, path)
+    landing.land_games(stamped.filter("month = 3 AND rated"), path)
+    bronze.refresh(spark, path)
+    return bronze.raw_games(spark, path).groupBy("player", "year", "month").agg(
+        F.count(F.lit(1)).alias("games"),
+        F.count_if("rated").alias("rated_games"),
+        F.count("_ingested_at").alias("stamped"),
+        F.count_distinct("_source_endpoint").alias("endpoints"),
+        F.max("_source_endpoint").alias("endpoint"),
+        F.min("end_time").alias("first_end"),
+        F.max("end_time").alias("last_end"),
+    )
+
+
+def landed_player_stats(spark, sf_dir):
+    """Statistics of the titled players, stamped with their name and landed one unit each."""
+    path = scratch_path(spark, "stats")
+    titled = archives.raw_titled(spark, sf_dir).select(F.lower("username").alias("username"))
+    documents = archives.raw_stats(spark, sf_dir).join(titled, "username", "left_semi")
+    fetched = documents.withColumnRenamed("username", "requested")
+    named = landing.stamp_username(fetched, F.upper("requested"))
+    endpoint = F.concat_ws("/", F.lit("player"), "username", F.lit("stats"))
+    landing.land_players(landing.stamp_lineage(named, endpoint).drop("requested"), path)
+    return bronze.raw_stats(spark, path).select(
+        "username", "fide", "_source_endpoint", F.col("_ingested_at").isNotNull().alias("stamped")
+    )
+
+
+def landed_broken_lines(spark, sf_dir):
+    """Lines of a landing by month and state, where some are cut off, no JSON or badly typed."""
+    path = scratch_path(spark, "broken")
+    games = archives.raw_games(spark, sf_dir).select("url", "uuid", "end_time", "year", "month")
+    number = F.substr("uuid", F.lit(3)).cast("bigint") % 11
+    line = F.to_json(F.struct("url", "uuid", "end_time"), {"ignoreNullFields": "false"})
+    typed = F.regexp_replace(line, r'"end_time":[^}]*', '"end_time":"soon"')
+    lines = games.select(
+        F.when(number == 0, F.left(line, F.lit(15)))
+        .when(number == 1, F.concat(F.lit("no json "), "uuid"))
+        .when(number == 2, typed)
+        .otherwise(line)
+        .alias("value"),
+        "year",
+        "month",
+    )
+    lines.write.partitionBy("year", "month").text(path)
+    read = bronze.with_broken(spark, path, schemas.RAW_GAMES)
+    state = bronze.line_state("uuid")
+    return read.groupBy("year", "month", state.alias("state")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count("uuid").alias("identified"),
+        F.count("end_time").alias("timed"),
+        F.min(F.when(F.col("uuid").isNull(), F.col(bronze.BROKEN))).alias("first_text"),
+        F.max(F.when(F.col("uuid").isNull(), F.col(bronze.BROKEN))).alias("last_text"),
+    )
+
+
 def landing_summary(spark, sf_dir):
     return landing.landing_summary(_landed(spark, sf_dir))
 
@@ -450,6 +581,13 @@ _BUILDERS: list[Query] = [
     entered_dead_letters,
     streamed_game_sessions,
     streamed_throughput,
+    rerun_throughput,
+    kept_event_days,
+    ndjson_feed,
+    ordered_replay,
+    landed_units,
+    landed_player_stats,
+    landed_broken_lines,
     landing_summary,
     missing_players,
     seed_players,
