@@ -289,3 +289,21 @@ def test_refresh_shows_files_written_by_another_job(spark, folder):
     bronze.refresh(spark, path)
     assert seen.count() == spark.read.parquet(path).count() == 7
     seen.unpersist()
+
+
+def test_compressed_units_hold_the_same_rows(spark, folder, raw):
+    base = raw().withColumn("player", F.lower("white.username"))
+    landing.land_games(base, f"{folder}/plain")
+    assert landing.land_games(base, f"{folder}/small", "gzip") == 3
+    names = [n for _, _, found in os.walk(f"{folder}/small") for n in found if n.startswith("part")]
+    assert names and all(n.endswith(".json.gz") for n in names)
+    plain, small = (bronze.raw_games(spark, f"{folder}/{n}") for n in ("plain", "small"))
+    assert small.exceptAll(plain).isEmpty() and small.count() == 3
+
+
+def test_json_lines_are_compressed_in_files_of_bounded_length(spark, folder, monkeypatch):
+    monkeypatch.setattr(feed, "_LINES_A_FILE", 10)
+    feed.write_ndjson(spark.range(35).coalesce(1), f"{folder}/lines", "gzip")
+    names = [n for n in os.listdir(f"{folder}/lines") if n.startswith("part")]
+    assert len(names) == 4 and all(n.endswith(".txt.gz") for n in names)
+    assert spark.read.json(f"{folder}/lines").count() == 35
