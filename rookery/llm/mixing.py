@@ -78,8 +78,8 @@ def _labels(labelled: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def marks(documents: DataFrame, labelled: DataFrame, names: list[str]) -> list[list[str]]:
-    """Words by level and domain, the weakest level first: ``WORDS`` a domain at most."""
+def _texts_for_marks(documents: DataFrame, labelled: DataFrame, names: list[str]) -> DataFrame:
+    """Texts (doc_id, text, domain) that marks are learned from."""
     rank = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         _labels(labelled, names)
@@ -88,7 +88,13 @@ def marks(documents: DataFrame, labelled: DataFrame, names: list[str]) -> list[l
         .filter(F.col("k") <= SAMPLE)
         .drop("k")
     )
-    texts = documents.select("doc_id", "text").join(chosen, "doc_id")
+    # At most SAMPLE rows a domain are broadcast; a shuffle would move every text.
+    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+
+
+def marks(documents: DataFrame, labelled: DataFrame, names: list[str]) -> list[list[str]]:
+    """Words by level and domain, the weakest level first: ``WORDS`` a domain at most."""
+    texts = _texts_for_marks(documents, labelled, names)
     totals = dict(texts.groupBy("domain").count().collect())
     every = sum(totals.values())
     by_domain = [

@@ -418,6 +418,20 @@ def test_mixing_of_awkward_rows(spark):
     assert mixing.mix(empty(spark), labelled, {"good": 1.0}).collect() == []
 
 
+def test_mixing_moves_no_text_to_choose_those_for_marks(spark):
+    documents = frame(spark, [(i, f"text {i}") for i in range(20)])
+    labelled = spark.createDataFrame([(i, "good") for i in range(20)], "doc_id LONG, domain STRING")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")  # as if the labels looked large
+    try:
+        plan = mixing._texts_for_marks(documents, labelled, ["good"])
+        shown = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    assert "BroadcastHashJoin" in shown and "SortMergeJoin" not in shown
+
+
 # --- byte-level BPE ---------------------------------------------------------
 
 
