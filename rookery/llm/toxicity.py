@@ -8,7 +8,7 @@ a text is as toxic as its most toxic segment, since a few words decide. Embeddin
 softmax are trained jointly on the labels of whole texts: first on the average of all
 segments, then on each text's highest one.
 
-Fitting uses at most ``SAMPLE`` labelled rows of either class (those with the smallest hash
+Fitting is one task and uses at most ``SAMPLE`` labelled rows of either class (those with the smallest hash
 of their id); everything else reads all rows. Two thirds of the sample train, the rest set
 the scale of the scores. If the labelled rows hold only one class, that class is the score of
 every text.
@@ -309,13 +309,37 @@ def sample(documents: DataFrame, labelled: DataFrame, limit: int = SAMPLE) -> Da
 
 def fit_on(documents: DataFrame, labelled: DataFrame, limit: int = SAMPLE) -> Model:
     """Fit on labelled rows (doc_id, label 0 or 1) of the documents."""
-    rows = sample(documents, labelled, limit).toArrow().combine_chunks()
     counts = dict(_known(labelled).groupBy("label").count().collect())
-    labels = rows["label"].to_numpy().astype(np.float64)
-    texts = rows["text"].combine_chunks().fill_null("")
-    if isinstance(texts, pa.ChunkedArray):
-        texts = pa.concat_arrays(texts.chunks)
-    return fit(texts, labels, (counts.get(0, 0), counts.get(1, 0)))
+    # One task trains, so that neither texts nor gradients take the driver's memory. Partitions
+    # keep their order.
+    chosen = sample(documents, labelled, limit).coalesce(1)
+    found = chosen.mapInArrow(_fitted(counts.get(0, 0), counts.get(1, 0)), _MODEL).collect()
+    if not found:
+        return fit([], np.zeros(0))
+    (row,) = found
+    return Model(np.frombuffer(row["weights"], np.float32), row["bias"], row["slope"], row["shift"])
+
+
+_MODEL = "weights BINARY, bias DOUBLE, slope DOUBLE, shift DOUBLE"
+
+
+def _fitted(*totals: int):
+    """The model of a partition's texts and labels, as one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, labels = [pa.array([], pa.string())], [np.zeros(0)]
+        for batch in batches:
+            texts.append(batch.column("text").cast(pa.string()).fill_null(""))
+            labels.append(batch.column("label").to_numpy().astype(np.float64))
+        model = fit(pa.concat_arrays(texts), np.concatenate(labels), totals)
+        columns = [model.weights.tobytes(), float(model.bias), float(model.slope), float(model.shift)]
+        kinds = [pa.binary(), pa.float64(), pa.float64(), pa.float64()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([value], kind) for value, kind in zip(columns, kinds)],
+            names=["weights", "bias", "slope", "shift"],
+        )
+
+    return run
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:

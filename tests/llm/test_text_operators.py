@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -354,6 +355,25 @@ def test_toxicity_takes_one_text_per_labelled_id(spark):
     assert sorted(r.label for r in taken) == [0] * 5 + [1]
 
 
+def test_toxicity_trains_in_a_task(spark, monkeypatch):
+    texts = [f"{'vile' if i % 3 == 0 else 'kind'} words number {i}" for i in range(60)]
+    documents = frame(spark, list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id LONG, label INT")
+    rows = toxicity.sample(documents, labels).collect()
+    direct = toxicity.fit([r.text for r in rows], [r.label for r in rows], (40, 20))
+
+    driver, own = os.getpid(), toxicity.fit
+
+    def elsewhere(*args):
+        assert os.getpid() != driver
+        return own(*args)
+
+    monkeypatch.setattr(toxicity, "fit", elsewhere)
+    model = toxicity.fit_on(documents, labels)
+    assert np.array_equal(model.weights, direct.weights)
+    assert (model.bias, model.slope, model.shift) == (direct.bias, direct.slope, direct.shift)
+
+
 def test_toxicity_keeps_columns_of_any_name(spark):
     model = toxicity.fit(["a", "b"], np.array([0, 0]))
     own = spark.createDataFrame([(1, "x", "y", "z")], "doc_id LONG, text STRING, _text STRING, row STRING")
