@@ -307,3 +307,13 @@ def test_json_lines_are_compressed_in_files_of_bounded_length(spark, folder, mon
     names = [n for n in os.listdir(f"{folder}/lines") if n.startswith("part")]
     assert len(names) == 4 and all(n.endswith(".txt.gz") for n in names)
     assert spark.read.json(f"{folder}/lines").count() == 35
+
+
+def test_small_units_are_written_by_several_tasks(spark, tmp_path):
+    path = f"{tmp_path}/players"
+    players = spark.range(60).select(F.concat(F.lit("Player"), "id").alias("username"))
+    assert landing.land_players(players.coalesce(1), path) == 60
+    files = spark.read.json(path).select("_metadata.file_name").distinct().collect()
+    assert len({name.split("-")[1] for (name,) in files}) > 1  # numbers of the tasks
+    assert landing.land_players(players.limit(1), path) == 1
+    assert spark.read.json(path).count() == 60
