@@ -13,9 +13,9 @@ Near words are found without comparing all words:
 3. Of two near words, the pivots of the one whose third bigram ranks first lie in the other's
    prefix. So pivots are looked up among prefixes, with position limits: an edit before the
    bigram moves its place by the difference of the lengths, one behind it does not, and what
-   lies on the other side of the bigram is the same in both words. A lookup is an equality of
-   length, place and that side of the word, bigram included, for each of the six ways in which
-   an edit can act.
+   lies on the other side of the bigram is the same in both words, and so is one half of what
+   lies on the edit's side. A lookup is an equality of length, place and these parts of the
+   word, taken as one hash, for each of the six ways in which an edit can act and both halves.
 4. Candidates are verified by their edit distance.
 
 Code points are below 256, so there are at most 65,536 bigrams, whose counts are gathered and
@@ -198,12 +198,17 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     ``words`` has each word once.
     """
+    return (
+        candidates(words)
+        .filter(F.levenshtein("word", "other", 1) == 1)
+        .select(F.least("word", "other").alias("left"), F.greatest("word", "other").alias("right"))
+        .distinct()
+    )
+
+
+def candidates(words: DataFrame) -> DataFrame:
+    """Rows (key, word, other) of words that a pivot found; all near words are among them."""
     held = stage(prefixes(words), "grams")
-    # the one edit lies behind the bigram or before it: what the word has up to the bigram's
-    # end or from its start is in the other word, too
-    part = F.when(
-        F.col("way.side") == 0, F.substr("word", F.lit(1), F.col("p") + 2)
-    ).otherwise(F.substr("word", F.col("p") + 1, F.col("length")))
 
     def ways(*each: tuple[int, int, int]) -> Column:
         names = ("side", "more", "moved")
@@ -211,31 +216,46 @@ def near_pairs(words: DataFrame) -> DataFrame:
             F.struct(*[F.lit(value).alias(name) for name, value in zip(names, one)]) for one in each
         ])).alias("way")
 
-    index = held.select("word", "length", "p", ways((0, 0, 0), (1, 0, 0))).select(
-        F.col("word").alias("other"), F.col("length").alias("long"), "p", "way.side",
-        part.alias("part"),
-    )
+    index = _keyed(held, ways((0, 0, 0), (1, 0, 0))).withColumnRenamed("word", "other")
     # replaced: same length and place; longer or shorter by one: the place moves if the edit
     # lies before it
-    probes = (
-        held.filter("pivot")
-        .select(
-            "word", "length", "p",
-            ways((0, 0, 0), (1, 0, 0), (0, 1, 0), (0, -1, 0), (1, 1, 1), (1, -1, -1)),
-        )
-        .select(
-            "word",
-            (F.col("length") + F.col("way.more")).alias("long"),
-            (F.col("p") + F.col("way.moved")).alias("p"),
-            "way.side",
-            part.alias("part"),
-        )
+    probes = _keyed(
+        held.filter("pivot"),
+        ways((0, 0, 0), (1, 0, 0), (0, 1, 0), (0, -1, 0), (1, 1, 1), (1, -1, -1)),
     )
-    met = probes.join(index, ["long", "p", "side", "part"]).filter("word != other")
-    return (
-        met.filter(F.levenshtein("word", "other", 1) == 1)
-        .select(F.least("word", "other").alias("left"), F.greatest("word", "other").alias("right"))
-        .distinct()
+    return probes.join(index, "key").filter("word != other")
+
+
+def _keyed(held: DataFrame, ways: Column) -> DataFrame:
+    """Rows (word, key) of every place, way and half.
+
+    The one edit lies behind the bigram (side 0) or before it (side 1): what the word has up to
+    the bigram's end, or from its start, is in the other word, too. Of the ``rest`` letters that
+    the looked-up word has on the edit's side, the edit leaves the first half or the last half
+    alone, whether it replaces, inserts or deletes. The key is a hash of what is left alone:
+    ``left`` letters at the word's start and ``right`` letters at its end.
+    """
+    side, long = F.col("way.side"), F.col("length") + F.col("way.more")
+    place = F.col("p") + F.col("way.moved")
+    rest = F.when(side == 0, long - place - 2).otherwise(place)
+    placed = held.select("word", "length", "p", ways).select(
+        "word", "length", side.alias("side"), long.alias("long"), place.alias("place"),
+        rest.alias("rest"), F.explode(F.array(F.lit(0), F.lit(1))).alias("half"),
+    )
+    first = F.shiftright("rest", 1)
+    last = F.col("rest") - first
+    left = F.when(F.col("side") == 0, F.col("place") + 2).otherwise(F.lit(0))
+    right = F.when(F.col("side") == 0, F.lit(0)).otherwise(F.col("long") - F.col("place"))
+    left = F.when(F.col("half") == 0, left + first).otherwise(left)
+    right = F.when(F.col("half") == 1, right + last).otherwise(right)
+    # without a letter on the edit's side nothing can be replaced or deleted there
+    return placed.filter("rest > 0 OR (rest = 0 AND length > long)").select(
+        "word",
+        F.xxhash64(
+            "long", "place", "side", "half",
+            F.substr("word", F.lit(1), left),
+            F.substr("word", F.col("length") - right + 1, right),
+        ).alias("key"),
     )
 
 

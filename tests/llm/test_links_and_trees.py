@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -207,6 +208,25 @@ def test_pivots_do_not_overlap_and_are_the_rarest():
         assert p[b] - p[a] > 1 and w[a] + w[b] == min(totals)
 
 
+def test_spelling_compares_few_words_that_only_share_a_rare_bigram(spark):
+    chance = random.Random(12)
+    words = {"zq" + "".join(chance.choices("abcdefgh", k=8)) for _ in range(400)}
+    words |= {w[:k] + w[k + 1 :] for w in sorted(words)[:40] for k in (0, 3, 5, 9)}
+    words |= {w[:k] + "x" + w[k:] for w in sorted(words)[:40] for k in (0, 4, 10)}
+    words |= {w[:k] + "x" + w[k + 1 :] for w in sorted(words)[:40] for k in (1, 6)}
+    frame = spark.createDataFrame([(w,) for w in sorted(words)], "word STRING")
+    assert spelling.candidates(frame).count() < 60 * len(words)
+
+    def near(a, b):
+        a, b = sorted((a, b), key=len)
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+    got = {(r.left, r.right) for r in spelling.near_pairs(frame).collect()}
+    assert got == {(a, b) for a in words for b in words if a < b and near(a, b)}
+
+
 def test_spelling_of_awkward_rows(spark, folder):
     rows = [*AWKWARD, (12, "Überall überALL ÜBERALL straßenbahn×÷ " * 3), (None, "Ärgerlich " * 40)]
     rows += [(n, "necessary " * 5 + "receive received") for n in range(100, 200)]
