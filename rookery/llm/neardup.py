@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rookery.llm.batches import (
     binary_lists,
     distinct,
+    freeing,
     key_filter,
     mix,
     release,
@@ -388,7 +389,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         members.unionByName(pivots)
         .repartition(shuffle_partitions(pairs.sparkSession), "b", "salt")
         .sortWithinPartitions("b", "salt", "side")
-        .mapInArrow(_confirm, PAIR)
+        .mapInArrow(freeing(_confirm), PAIR)
     )
 
 
@@ -441,7 +442,7 @@ def _first_links(buckets: DataFrame, signatures: DataFrame, texts: DataFrame) ->
     pruned = (
         pairs.join(signatures.toDF("a", "left"), "a")
         .join(signatures.toDF("b", "right"), "b")
-        .mapInArrow(_prune, PAIR)
+        .mapInArrow(freeing(_prune), PAIR)
     )
     return confirm(pruned, texts)
 
@@ -500,7 +501,7 @@ def _best_links(
 ) -> DataFrame:
     """Links among the best pairs between classes."""
     rows = _in_order(_mixed(buckets, comps, signatures))
-    return confirm(rows.mapInArrow(_best_pairs, PAIR).distinct(), texts)
+    return confirm(rows.mapInArrow(freeing(_best_pairs), PAIR).distinct(), texts)
 
 
 def _all_links(
@@ -514,7 +515,7 @@ def _all_links(
     rows = _mixed(buckets, comps, signatures)
     lights = rows.filter("side = 0").select("rep").distinct().count()
     met = _in_order(rows).mapInArrow(
-        _active(-(-lights // CHUNK) or 1), "side LONG, rep LONG, groups ARRAY<LONG>"
+        freeing(_active(-(-lights // CHUNK) or 1)), "side LONG, rep LONG, groups ARRAY<LONG>"
     )
     active = stage(
         met.groupBy("side", "rep")
@@ -530,7 +531,7 @@ def _all_links(
         .join(signatures, "rep")
         .join(texts, "rep")
     )
-    return _in_order(bringing).mapInArrow(_linked, PAIR).distinct()
+    return _in_order(bringing).mapInArrow(freeing(_linked), PAIR).distinct()
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -553,7 +554,7 @@ def classes(documents: DataFrame) -> DataFrame:
     rows = keyed(documents)
     signed = stage(
         rows.select("id", "tie", "text")
-        .mapInArrow(_signed, _SIGNED)
+        .mapInArrow(freeing(_signed), _SIGNED)
         .withColumn("row", F.monotonically_increasing_id()),
         "signed",
     )

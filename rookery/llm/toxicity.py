@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rookery.llm.batches import mix, slices, text_bytes
+from rookery.llm.batches import freeing, mix, slices, text_bytes
 
 SAMPLE = 3000  # labelled rows of each class that a fit may use
 BUCKETS = 1 << 17
@@ -313,7 +313,7 @@ def fit_on(documents: DataFrame, labelled: DataFrame, limit: int = SAMPLE) -> Mo
     # One task trains, so that neither texts nor gradients take the driver's memory. Partitions
     # keep their order.
     chosen = sample(documents, labelled, limit).coalesce(1)
-    found = chosen.mapInArrow(_fitted(counts.get(0, 0), counts.get(1, 0)), _MODEL).collect()
+    found = chosen.mapInArrow(freeing(_fitted(counts.get(0, 0), counts.get(1, 0))), _MODEL).collect()
     if not found:
         return fit([], np.zeros(0))
     (row,) = found
@@ -358,4 +358,4 @@ def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     own = documents.drop("score")
     packed = documents.select(F.struct(*[F.col(f"`{c}`") for c in own.columns]).alias("row"), F.col(text).alias("text"))
     schema = packed.select("row").schema.add("score", "double")
-    return packed.mapInArrow(run, schema).select("row.*", "score")
+    return packed.mapInArrow(freeing(run), schema).select("row.*", "score")

@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rookery.llm import (
+    batches,
     bpe,
     fingerprints,
     mixing,
@@ -648,3 +649,21 @@ def test_gap_codes_round_trip():
     for offsets in ([], [0], [65535], [0, 255, 256, 511, 65000], np.unique(rng.integers(0, 65536, 900))):
         coded = substrings._gaps(np.array(offsets, np.int64))
         assert substrings._offsets(coded).tolist() == list(offsets)
+
+
+def test_a_task_gives_freed_memory_back():
+    """Also where a small block behind the freed ones is still held."""
+    held = []
+
+    def resident():
+        with open("/proc/self/status") as file:
+            return int(re.search(r"RssAnon:\s+(\d+)", file.read()).group(1)) / 1024
+
+    def run(_):
+        parts = [np.ones(8_000) for _ in range(3_000)]  # 64 KB each
+        held.append([np.ones(100) for _ in range(1_000)])
+        yield len(parts)
+
+    before = resident()
+    assert list(batches.freeing(run)(iter([]))) == [3_000]
+    assert resident() - before < 60 and held
