@@ -45,6 +45,7 @@ from rookery.llm.batches import (
     shingles,
     shuffle_partitions,
     slices,
+    small_batches,
     stage,
     words,
 )
@@ -551,6 +552,7 @@ def classes(documents: DataFrame) -> DataFrame:
     ``comp`` names the class, ``component`` is its smallest id; both are null for a document
     without words.
     """
+    small_batches(documents.sparkSession)
     rows = keyed(documents)
     signed = stage(
         rows.select("id", "tie", "text")

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rookery.llm.batches import freeing, mix, slices, text_bytes
+from rookery.llm.batches import freeing, mix, slices, small_batches, text_bytes
 
 SAMPLE = 3000  # labelled rows of each class that a fit may use
 BUCKETS = 1 << 17
@@ -309,6 +309,7 @@ def sample(documents: DataFrame, labelled: DataFrame, limit: int = SAMPLE) -> Da
 
 def fit_on(documents: DataFrame, labelled: DataFrame, limit: int = SAMPLE) -> Model:
     """Fit on labelled rows (doc_id, label 0 or 1) of the documents."""
+    small_batches(documents.sparkSession)
     counts = dict(_known(labelled).groupBy("label").count().collect())
     # One task trains, so that neither texts nor gradients take the driver's memory. Partitions
     # keep their order.
@@ -345,6 +346,7 @@ def _fitted(*totals: int):
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns plus ``score`` (0 to 1) of the whole text; a column of that name goes."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
+    small_batches(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
