@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import time
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rookery.llm import batches, bpe, neardup, toxicity
+from rookery.llm import batches, bpe, neardup, substrings, toxicity
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
@@ -34,11 +37,12 @@ def largest_batch(spark):
 @pytest.mark.parametrize(
     "operator",
     [
+        substrings.remove_repeats,
         neardup.deduplicate,
         lambda docs: bpe.encode(docs, RANKS),
         lambda docs: toxicity.score(docs, toxicity.fit([], [])),
     ],
-    ids=["neardup", "bpe", "toxicity"],
+    ids=["substrings", "neardup", "bpe", "toxicity"],
 )
 def test_workers_get_texts_by_a_few_megabytes(spark, operator):
     spark.conf.unset(LIMIT)
@@ -66,3 +70,25 @@ def test_pipeline_decodes_in_a_step_of_its_own(spark):
     rows = {row["doc_id"]: row for row in result.collect()}
     assert {k: row["round_trip"] for k, row in rows.items()} == {1: True, 2: True, 3: True}
     assert rows[1]["n_tokens"] > 0 and rows[2]["n_tokens"] == rows[3]["n_tokens"] == 0
+
+
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = set()
+    for folder in manager.localDirsString():
+        for _, _, names in os.walk(folder):
+            found.update(n for n in names if n.startswith("shuffle_") and n.endswith(".data"))
+    return found
+
+
+def test_release_gives_up_files_of_the_step_that_has_just_ended(spark):
+    earlier = shuffle_files(spark)
+    counts = batches.stage(spark.range(100_000).groupBy(F.col("id") % 1000).count(), "counts")
+    own = shuffle_files(spark) - earlier
+    assert own
+    batches.release(spark)
+    deadline = time.time() + 10
+    while own & shuffle_files(spark) and time.time() < deadline:
+        time.sleep(0.1)
+    assert not own & shuffle_files(spark)
+    assert counts.count() == 1000
