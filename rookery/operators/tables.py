@@ -38,6 +38,12 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(location)]
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all that a folder holds."""
+    files, location, _ = _filesystem(spark, path)
+    return files.getContentSummary(location).getLength()
+
+
 def partition_dates(spark: SparkSession, path: str, column: str) -> list[dt.date]:
     """Dates of the table's first partition level, from its folder names."""
     names = folder_names(spark, path)
