@@ -1,6 +1,7 @@
 """Write semantics, landing and the layered run on real folders."""
 
 import datetime as dt
+import gzip
 import json
 import os
 import shutil
@@ -309,6 +310,22 @@ def test_json_lines_are_compressed_in_files_of_bounded_length(spark, folder, mon
     assert spark.read.json(f"{folder}/lines").count() == 35
 
 
+def test_compressed_json_lines_are_written_at_speed(spark, folder):
+    rows = spark.range(20_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("event_id"),
+        F.concat(F.lit("player"), F.col("id") % 500).alias("player"),
+        (F.col("id") * 7919 % 1009).alias("elo"),
+    )
+    feed.write_ndjson(rows.coalesce(1), f"{folder}/lines", "gzip")
+    (name,) = [n for n in os.listdir(f"{folder}/lines") if n.startswith("part")]
+    with open(f"{folder}/lines/{name}", "rb") as file:
+        written = file.read()
+    lines = gzip.decompress(written)
+    assert lines.count(b"\n") == 20_000
+    fast, usual = (len(gzip.compress(lines, level)) for level in (1, 6))
+    assert abs(len(written) - fast) < abs(len(written) - usual)
+
+
 def test_small_units_are_written_by_several_tasks(spark, tmp_path):
     path = f"{tmp_path}/players"
     players = spark.range(60).select(F.concat(F.lit("Player"), "id").alias("username"))
