@@ -326,6 +326,25 @@ def test_compressed_json_lines_are_written_at_speed(spark, folder):
     assert abs(len(written) - fast) < abs(len(written) - usual)
 
 
+def test_replay_keeps_ids_of_any_form(spark, folder):
+    """Ids that are digests are sorted as bytes, others as text; all come out as they were."""
+    ids = ["ab" * 32, "AB" * 32, "abc", "", "g" * 64, None, "00", "été", "0" * 63]
+    made = spark.createDataFrame(
+        [(i, n, str(n % 3), n) for n, i in enumerate(ids)],
+        "event_id string, us long, game_id string, ply long",
+    ).withColumn("event_ts", F.timestamp_micros("us")).drop("us")
+    events = spark.createDataFrame([], schemas.EVENT).unionByName(made, allowMissingColumns=True)
+    plan = feed.sorted_for_replay(events)._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex" in plan.split("Sort [")[1]  # before the rows are moved
+    feed.write_replay(events, f"{folder}/replay")
+    found = spark.read.parquet(f"{folder}/replay").select(
+        F.get_json_object(F.col("data").cast("string"), "$.event_id").alias("id"),
+        F.get_json_object(F.col("data").cast("string"), "$.ply").cast("int").alias("n"),
+    )
+    assert [r.id for r in found.orderBy("n").collect()] == ids
+    assert feed.sorted_for_replay(events).columns == events.columns
+
+
 def test_small_units_are_written_by_several_tasks(spark, tmp_path):
     path = f"{tmp_path}/players"
     players = spark.range(60).select(F.concat(F.lit("Player"), "id").alias("username"))
