@@ -345,6 +345,29 @@ def test_replay_keeps_ids_of_any_form(spark, folder):
     assert feed.sorted_for_replay(events).columns == events.columns
 
 
+def test_many_units_are_landed_and_read_a_part_at_a_time(spark, folder, monkeypatch):
+    monkeypatch.setattr(landing, "_UNITS_A_WRITE", 7)
+    monkeypatch.setattr(bronze, "_UNITS_A_READ", 7)
+    writes, reads, land, scan = [], [], landing.land_units, bronze._scan
+    monkeypatch.setattr(
+        landing, "land_units", lambda *a, **k: writes.append(land(*a, **k)) or writes[-1]
+    )
+    monkeypatch.setattr(bronze, "_scan", lambda s, p, *a: reads.append(len(p)) or scan(s, p, *a))
+    path = f"{folder}/stats"
+    name = F.when(F.col("id") > 0, F.concat(F.lit("Pläyer*{,}\n="), F.col("id") % 29))
+    stats = spark.range(30).select(name.alias("username"), F.col("id").alias("fide"))
+    assert landing.land_players(stats, path) == 30 and len(writes) == 5 and max(writes) < 30
+    got = bronze.gathered(spark, path, schemas.RAW_STATS).select("username", "fide")
+    assert sum(reads) == 30 and max(reads) == 7
+    assert sorted(map(str, got.collect())) == sorted(map(str, stats.collect()))
+    again = stats.filter("id % 2 = 1").withColumn("fide", F.col("fide") + 100)
+    landing.land_players(again, path)
+    got = bronze.gathered(spark, path, schemas.RAW_STATS).select("username", "fide")
+    assert {r.username for r in got.collect()} == {r.username for r in stats.collect()}
+    assert got.filter("fide > 50").count() == 15
+    assert bronze.gathered(spark, f"{folder}/none", schemas.RAW_STATS).count() == 0
+
+
 def test_small_units_are_written_by_several_tasks(spark, tmp_path):
     path = f"{tmp_path}/players"
     players = spark.range(60).select(F.concat(F.lit("Player"), "id").alias("username"))
